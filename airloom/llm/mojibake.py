@@ -31,14 +31,17 @@ from airloom.session import cut
 # Code pages in which texts are wrongly read, and old ones in which they may have been written.
 READERS = ("cp1252", "latin-1", "iso8859_15", "cp1250", "iso8859_2", "cp1251", "cp1253", "iso8859_7", "cp1254", "cp437", "cp850", "cp852",
            "cp866", "mac_roman", "koi8_r", "koi8_u", "iso8859_5", "gbk", "shift_jis", "big5", "euc_kr")
-WRITERS = ("cp1252", "cp1250", "cp1251", "cp1253", "cp437", "cp850", "cp866", "mac_roman", "koi8_r", "iso8859_2", "iso8859_7", "gbk", "shift_jis")
+WRITERS = ("cp1252", "cp1250", "cp1251", "cp1253", "cp437", "cp850", "cp866", "mac_roman", "koi8_r", "iso8859_2", "iso8859_7", "gbk", "shift_jis", "euc_jp", "big5")
 TWICE = ("cp1252", "latin-1", "cp1250", "cp1251", "mac_roman", "cp437")
-WIDE = {"gbk", "shift_jis", "big5", "euc_kr"}
+WIDE = {"gbk", "shift_jis", "euc_jp", "big5", "euc_kr"}
 BUCKETS = 1 << 18
 
 _WORD = regex.compile(r"[A-Za-z]*[^\x00-\x7f][A-Za-z\u0080-\U0010ffff]*")
 _RUN = regex.compile(r"[^\x00-\x7f]+")
 _LOST = regex.compile("[�\u0080-\u009f]")
+# Symbols that no word holds in its midst; two of them in one word are the bytes of another script.
+_ALIEN = regex.compile("[¢¤¥¦§¨©ª¬®¯±²³´µ¶¸¹º¼½¾×÷†‡‰‹›ƒˆ˜™]")
+_BETWEEN = regex.compile(r"[A-Za-z][^\x00-\x7f][A-Za-z]")
 
 Step = tuple[str, str]  # written in, read in
 Chain = tuple[Step, ...]
@@ -132,63 +135,73 @@ class Model:
             out.append(v)
         return 0.6 * sum(out) / len(out) + 0.4 * min(out) if out else 99.0
 
-    def _candidates(self, word: str) -> Iterator[tuple[str, bool]]:
-        """Restored forms with whether multi-byte validity speaks for them."""
-        for chain in self.chains:
+    def _candidates(self, word: str) -> Iterator[tuple[int, str, bool]]:
+        """Restored forms with their transformation and whether multi-byte validity speaks for them."""
+        several = len(_RUN.findall(word)) > 1
+        for i, chain in enumerate(self.chains):
             strong = chain[0][0] == "utf-8"
             whole = restore(word, chain)
-            if whole is not None and whole != word:
-                yield whole, strong
-                continue
-            if strong:  # only some runs may be damaged
+            if whole is not None:
+                if whole != word:
+                    yield i, whole, strong
+            elif strong and several:  # only some runs may be damaged
                 parts = _RUN.sub(lambda m, c=chain: r if (r := restore(m.group(), c)) is not None else m.group(), word)
                 if parts != word:
-                    yield parts, strong
+                    yield i, parts, strong
 
-    def judge(self, word: str) -> tuple[bool, str | None]:
-        """(garbled, restored form or None)."""
+    def judge(self, word: str) -> tuple[bool, dict[int, tuple[float, str]]]:
+        """(garbled, gain and restored form by transformation)."""
         if (known := self._memo.get(word)) is not None:
             return known
         lost = bool(_LOST.search(word))
-        base = self.usual(word)
-        best: tuple[float, str] | None = None
+        base, sure = self.usual(word), lost or len(set(_ALIEN.findall(word))) >= 2
+        forms: dict[int, tuple[float, str]] = {}
+        # a short word without letters around it says little about code pages
+        enough = sum(c > "\x7f" for c in word) >= 3 or len(word) >= 3 or bool(_BETWEEN.search(word))
         seen = {word}
-        front = [(word, 0)]
+        front: list[tuple[str, int, int]] = [(word, 0, -1)]
         while front:
-            now, depth = front.pop()
-            for cand, strong in self._candidates(now):
-                if cand in seen or _LOST.search(cand) and not lost:
+            now, depth, via = front.pop()
+            for i, cand, strong in self._candidates(now):
+                if cand in seen or cand.isascii():
                     continue
                 seen.add(cand)
-                if strong and depth < 2 and not cand.isascii():
-                    front.append((cand, depth + 1))
+                if strong and depth < 2:
+                    front.append((cand, depth + 1, i if via < 0 else via))
                 if _LOST.search(cand):
                     continue
                 gain = self.usual(cand) - base
-                if cand.isascii():
-                    gain = -1.0
-                need = 0.7 if strong else 2.2
-                if gain > need and (best is None or gain > best[0]):
-                    best = (gain, cand)
-        out = (lost or best is not None, best[1] if best and "�" not in word else None)
+                key = i if via < 0 else via
+                if gain > forms.get(key, (0.0, ""))[0]:
+                    forms[key] = (gain, cand)
+                sure = sure or gain > (0.7 if strong else 2.2) and (strong or enough)
+        out = (sure, forms)
         if len(word) < 64 and len(self._memo) < 500_000:
             self._memo[word] = out
         return out
 
     def mend(self, text: str) -> tuple[bool, str | None]:
         """(garbled, text as it was or None where something was lost)."""
-        garbled = whole = False
-        whole, out, at = True, [], 0
-        for m in _WORD.finditer(text):
-            bad, good = self.judge(m.group())
-            if bad:
-                garbled = True
-                out += [text[at : m.start()], good if good is not None else m.group()]
-                at = m.end()
-                whole = whole and good is not None
-        if not garbled:
+        found = [(m.start(), m.end(), m.group(), *self.judge(m.group())) for m in _WORD.finditer(text)]
+        if not any(bad for *_, bad, _ in found):
             return False, None
-        return True, "".join(out) + text[at:] if whole else None
+        if "\ufffd" in text:
+            return True, None
+        # one transformation usually explains the whole text
+        vote: Counter = Counter()
+        for *_, forms in found:
+            for i, (gain, _) in forms.items():
+                vote[i] += min(gain, 3.0)
+        main = max(vote, key=vote.__getitem__) if vote else -1
+        out, at = [], 0
+        for a, b, word, bad, forms in found:
+            best = forms.get(main) or (max(forms.values()) if bad and forms else None)
+            if bad and best is None:
+                return True, None
+            if best is not None and (bad or main in forms):
+                out += [text[at:a], best[1]]
+                at = b
+        return True, "".join(out) + text[at:]
 
 
 def word_counts(texts: DataFrame, text: str) -> DataFrame:
@@ -243,7 +256,7 @@ def _invert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["chain", "word", "n", "twin"])
 
 
-def learn(words: DataFrame, support: int = 3, ratio: float = 4.0) -> Model:
+def learn(words: DataFrame, support: int = 2, ratio: float = 4.0) -> Model:
     """Transformations with at least ``support`` different damaged words, and the pair counts.
 
     Only votes per transformation (a fixed list) and hashed counts (2^18 numbers) reach the driver.
@@ -256,7 +269,11 @@ def learn(words: DataFrame, support: int = 3, ratio: float = 4.0) -> Model:
     inverted = bare.repartition(n).mapInPandas(_invert, "chain int, word string, n long, twin string")
     known = words.select(F.col("word").alias("twin"), F.col("n").alias("m"))
     found = inverted.join(known, "twin").filter(F.col("m") >= ratio * F.col("n")).select("chain", "word")
-    votes = voted.union(found).distinct().groupBy("chain").agg(F.count("*").alias("votes")).collect()
+    voted = cut(voted.union(found).distinct(), "votes")
+    # several transformations may explain a word: it stands for the one with most votes
+    total = voted.groupBy("chain").agg(F.count("*").alias("all"))
+    own = voted.join(total, "chain").groupBy("word").agg(F.max_by("chain", F.struct("all", -F.col("chain"))).alias("chain"))
+    votes = own.groupBy("chain").agg(F.count("*").alias("votes")).collect()
     chains = space()
     learned = [chains[r.chain] for r in sorted(votes, key=lambda r: -r.votes) if r.votes >= support]
 
@@ -274,7 +291,7 @@ def learn(words: DataFrame, support: int = 3, ratio: float = 4.0) -> Model:
     return Model(learned, counts)
 
 
-def garbled(rows: DataFrame, row_id: str, fields: list[str], *, support: int = 3) -> DataFrame:
+def garbled(rows: DataFrame, row_id: str, fields: list[str], *, support: int = 2) -> DataFrame:
     """row_id, field_name, damaged, restored for each garbled field; restored is NULL where something was lost.
 
     NULL and pure ASCII texts are never garbled; entity codes are left alone;
