@@ -80,7 +80,7 @@ class Windows:
 
 
 def _pack(batches: Iterator[pd.DataFrame], level: str, limit: int, lookahead: int) -> Iterator[pd.DataFrame]:
-    """Columns kind, capacity, item, size -> kind, item, window, open (free tokens of open windows, else NULL)."""
+    """Columns kind, capacity, item, size -> kind, item, window, free (tokens left in a window that stays open; -1 in the rows of items)."""
     from pyspark import TaskContext
 
     part = TaskContext.get().partitionId()
@@ -97,7 +97,9 @@ def _pack(batches: Iterator[pd.DataFrame], level: str, limit: int, lookahead: in
             placed.append((kind, item, f"{level}.{part}.{w}"))
 
     def out() -> pd.DataFrame:
-        return pd.DataFrame(placed, columns=["kind", "item", "window"]).assign(free=pd.array([None] * len(placed), dtype="Int64"))
+        rows = pd.DataFrame(placed, columns=["kind", "item", "window"]).assign(free=-1)
+        placed.clear()
+        return rows
 
     for b in batches:
         if len(b):
@@ -107,16 +109,13 @@ def _pack(batches: Iterator[pd.DataFrame], level: str, limit: int, lookahead: in
             flush()
             n = 0
             yield out()
-            placed.clear()
     if held:
         flush()
-    yield out()
-    # what stays open: one row per window without an item
-    rest = [(k, f"{level}.{part}.{w}", room) for k, ws in kinds.items() for room, w in ws.free]
-    yield pd.DataFrame(
-        {"kind": [r[0] for r in rest], "item": pd.Series([None] * len(rest), dtype=object), "window": [r[1] for r in rest],
-         "free": pd.array([r[2] for r in rest], dtype="Int64")}
-    )
+        yield out()
+    # what stays open: one row per window, without an item
+    rest = [(k, "", f"{level}.{part}.{w}", room) for k, ws in kinds.items() for room, w in ws.free]
+    if rest:
+        yield pd.DataFrame(rest, columns=["kind", "item", "window", "free"])
 
 
 def pack(sizes: DataFrame, specs: DataFrame, *, doc_id: str, limit: int = 256, lookahead: int = 8192, fan_in: int = 32) -> DataFrame:
@@ -155,13 +154,13 @@ def pack(sizes: DataFrame, specs: DataFrame, *, doc_id: str, limit: int = 256, l
     while True:
         name = f"w{level}"
         packed = cut(queue.mapInPandas(lambda it, name=name: _pack(it, name, limit, lookahead), schema), "packed")
-        links.append(packed.filter("item is not null").select("kind", "item", "window"))
+        links.append(packed.filter("free < 0").select("kind", "item", "window"))
         if tasks == 1:
             break
         tasks = max(1, -(-tasks // fan_in))
         level += 1
         # an open window is an item of the tokens it holds
-        left = packed.filter("item is null").join(capacity, "kind")
+        left = packed.filter("free >= 0").join(capacity, "kind")
         queue = left.select("kind", "capacity", F.col("window").alias("item"), (F.col("capacity") - F.col("free")).alias("size")).repartition(tasks, F.xxhash64("window"))
         queue = cut(queue, "open")
         queue = queue.coalesce(tasks)

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from airloom.llm.confusables import forms, id_number, look_alike_pairs
 from airloom.llm.leakage import leaks
+from airloom.llm.linkage import Parser, link, parsed, subject_words
 from airloom.llm.mojibake import garbled
 from airloom.llm.packing import fill_report, packed_documents
 from airloom.llm.sentences import sentences
 from airloom.llm.survivor import present, survivors
-from airloom.session import table, tune
+from airloom.session import cut, table, tune
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,45 @@ def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return garbled(rows, "prog_id", ["title", "descr"])
 
 
+def _p3_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(streams with their station, links of stations and channels with confidence)."""
+    s = table(spark, sf_dir, "streams").filter("snapshot_no = 6").select(id_number("stream_id").alias("stream_id"), "name", "cat_name")
+    c = table(spark, sf_dir, "channel").select("source", F.col("id").alias("record"), "display_name").distinct()
+    sources = table(spark, sf_dir, "sources").select("source", "countries")
+    # two-letter codes, so at most 676
+    code = F.upper(F.regexp_extract("cat_name", r"^\s*([A-Za-z]{2})\s*\|", 1))
+    listed = sources.select(F.explode("countries").alias("c")).union(s.select(code)).distinct()
+    codes = {r[0] for r in listed.filter("c rlike '^[A-Z]{2}$'").collect()}
+    parser = Parser(subject_words(s, "name", codes), codes)
+    s = parsed(s.distinct(), "name", parser).withColumn("country", F.coalesce("name_country", F.when(code != "", code)))
+    form = ["brand", "subject", "number", "country"]
+    station = F.xxhash64(*[F.coalesce(x, F.lit("?")) for x in form])
+    s = cut(s.withColumn("station", station).select("stream_id", "station", *form), "streams")
+    r = parsed(c, "display_name", parser).join(sources, "source", "left")
+    # a country written in any name of a channel holds for all of them
+    own = r.groupBy("source", "record").agg(F.max("name_country").alias("country"))
+    r = r.join(own, ["source", "record"]).select("source", "record", *form, "countries", "subject_score")
+    r = cut(r, "records")
+    # a station that only channels show, of a known country and a brand of the streams, competes for the others
+    only = F.when(F.size("countries") == 1, F.element_at("countries", 1))
+    shown = r.select("brand", "subject", "number", F.coalesce("country", only).alias("country")).filter("country is not null and subject <> ''")
+    shown = shown.distinct().join(s.select("brand").distinct(), "brand", "left_semi")
+    stations = s.select(*form).union(shown.select(*form)).distinct().withColumn("station", station)
+    return s, link(stations, r)
+
+
+def p3_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All candidate pairs with their confidence."""
+    tune(spark)
+    s, links = _p3_links(spark, sf_dir)
+    out = s.select("stream_id", "station").distinct().join(links, "station").filter("stream_id is not null")
+    return out.groupBy("stream_id", "source", F.col("record").alias("channel_id")).agg(F.max("confidence").alias("confidence"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_confidence(spark, sf_dir).filter("confidence >= 0.5").select("stream_id", "source", "channel_id")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     m = table(spark, sf_dir, "mapping")
@@ -81,7 +121,8 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries():
     return {
-        "p1_found": p1_found, "p1_restored": p1_restored, "p6_found": p6_found, "p7_found": p7_found, "p7_forms": p7_forms,
+        "p1_found": p1_found, "p1_restored": p1_restored, "p3_found": p3_found, "p3_confidence": p3_confidence,
+        "p6_found": p6_found, "p7_found": p7_found, "p7_forms": p7_forms,
         "p8_packed": p8_packed, "p8_fill": p8_fill, "p9_found": p9_found, "p9_passages": p9_passages, "p10_found": p10_found,
     }
 
