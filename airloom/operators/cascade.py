@@ -1,0 +1,61 @@
+"""Filling channels from ranked candidates and merging them into one guide."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from airloom.functions.text import clean_title
+from airloom.operators.schedule import first_wins, overlap_islands
+
+# Titles that stand for no information.
+PLACEHOLDERS = ("no information", "to be announced", "tba", "n/a", "off air", "no programme", "unknown")
+
+
+def placeholder(title: Column | str) -> Column:
+    """Whether a title says nothing (substring test on the cleaned title; empty counts)."""
+    t = clean_title(title)
+    hit = t == ""
+    for p in PLACEHOLDERS:
+        hit = hit | F.contains(t, F.lit(p))
+    return hit
+
+
+def candidate_summary(rows: DataFrame, now: int) -> DataFrame:
+    """What decides about a candidate: stream, rank, n_rows, active title, whether all titles are placeholders.
+
+    rows: stream, rank, start, stop, title of usable programmes of each candidate.
+    """
+    on = (F.col("start") <= now) & (F.col("stop") > now)
+    return rows.groupBy("stream", "rank").agg(
+        F.count("*").alias("n_rows"),
+        F.min_by(F.coalesce("title", F.lit("")), F.when(on, F.struct(F.col("start"), F.col("title")))).alias("active_title"),
+        F.min(placeholder("title")).alias("all_placeholder"),
+    )
+
+
+def pick(summary: DataFrame) -> DataFrame:
+    """The chosen candidate per stream: stream, rank, step.
+
+    The first usable one stands, unless it has nothing on air while a later one
+    has a real title (step 2), or shows a placeholder only (step 3), or holds
+    nothing but placeholders (step 4).  Decided by aggregation alone.
+    """
+    good = F.col("active_title").isNotNull() & ~placeholder("active_title")
+    one = summary.groupBy("stream").agg(
+        F.min(F.struct("rank", "active_title", "all_placeholder")).alias("first"),
+        F.min(F.when(good, F.col("rank"))).alias("good_rank"),
+        F.min(F.when(~F.col("all_placeholder"), F.col("rank"))).alias("real_rank"),
+    )
+    later = F.col("good_rank") > F.col("first.rank")
+    none = F.col("first.active_title").isNull()
+    weak = ~none & placeholder("first.active_title")
+    step = F.when(none & later, 2).when(weak & later, 3).when(F.col("first.all_placeholder") & F.col("real_rank").isNotNull(), 4).otherwise(1)
+    rank = F.when(step.isin(2, 3), F.col("good_rank")).when(step == 4, F.col("real_rank")).otherwise(F.col("first.rank"))
+    return one.select("stream", rank.alias("rank"), step.alias("step"))
+
+
+def merge(rows: DataFrame, picked: DataFrame) -> DataFrame:
+    """Guide rows of the picked candidates: one row per start, overlaps resolved."""
+    own = rows.join(picked.select("stream", "rank"), ["stream", "rank"]).select(F.col("stream").alias("channel"), "start", "stop", "title")
+    return overlap_islands(first_wins(own, ["channel", "start"], ["stop", "title"]))
