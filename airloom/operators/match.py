@@ -89,3 +89,44 @@ def collision_split(streams: DataFrame) -> DataFrame:
     out = real.join(count, "epg", "left")
     own = F.when(F.col("n") == 1, F.col("epg")).otherwise(F.concat(F.lit("xtream:"), F.col("stream_id").cast("string")))
     return out.select("stream_id", own.alias("canonical_id"))
+
+
+def alias_match(streams: DataFrame, aliases: DataFrame, channels: DataFrame) -> DataFrame:
+    """Streams whose name an alias table renames: the unique id of the alias per source.
+
+    aliases: norm_name, alias (both normalised).
+    """
+    renamed = streams.join(aliases.dropDuplicates(["norm_name"]), "norm_name").select("stream_id", F.col("alias").alias("norm_name"))
+    return exact_match(renamed, channels).filter("source_id is not null")
+
+
+def override_match(streams: DataFrame, overrides: DataFrame) -> DataFrame:
+    """Fixed choices: overrides has stream_id, source, source_id."""
+    return streams.select("stream_id").distinct().join(overrides, "stream_id").select("stream_id", "source", "source_id")
+
+
+def call_sign_match(streams: DataFrame, channels: DataFrame) -> DataFrame:
+    """Equality of call signs; both sides have call_sign, an ambiguous sign gives nothing."""
+    one = channels.filter("call_sign is not null").groupBy("source", "call_sign").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo = hi")
+    return streams.filter("call_sign is not null").join(one, "call_sign").select("stream_id", "source", F.col("lo").alias("source_id"))
+
+
+def combine(phases: dict[str, DataFrame], trust: DataFrame) -> DataFrame:
+    """All phases (stream_id, source, source_id, confidence), in order of precedence, as ranked candidates.
+
+    A repeated (source, source_id) of a stream keeps its first phase; the rank is
+    by trust of the source, then confidence, then id.
+    """
+    rows = None
+    for i, (method, df) in enumerate(phases.items()):
+        one = df.select("stream_id", "source", "source_id", F.col("confidence").cast("double").alias("confidence"), F.lit(i).alias("phase"), F.lit(method).alias("match_method"))
+        rows = one if rows is None else rows.unionByName(one)
+    best = rows.groupBy("stream_id", "source", "source_id").agg(F.min_by(F.struct("confidence", "match_method"), F.struct("phase", -F.col("confidence"))).alias("x"))
+    flat = best.select("stream_id", "source", "source_id", "x.*").join(trust.select("source", "trust"), "source", "left")
+    order = Window.partitionBy("stream_id").orderBy(F.asc_nulls_last("trust"), F.desc("confidence"), "source", "source_id")
+    return flat.withColumn("rank", F.row_number().over(order)).drop("trust")
+
+
+def missing_references(rows: DataFrame, columns: list[str], declared: DataFrame) -> DataFrame:
+    """Referential check: rows whose columns name nothing in ``declared``; none is a pass."""
+    return rows.join(declared.select(*columns).distinct(), columns, "left_anti")

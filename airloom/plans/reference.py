@@ -226,6 +226,42 @@ def fuzzy_dice(spark, d):
     return match.fuzzy_match(left, _channels(spark, d).select("source", F.col("norm_name").alias("rname")))
 
 
+def mapping_rows(spark, d):
+    """The mapping built from names: exact and fuzzy phases of whole tables, ranked."""
+    s, c = _streams(spark, d), _channels(spark, d)
+    exact = match.exact_match(s, c).filter("source_id is not null").withColumn("confidence", F.lit(1.0))
+    fuzzy = match.fuzzy_match(s.select(F.col("norm_name").alias("lname")), c.select("source", F.col("norm_name").alias("rname")))
+    one = c.groupBy("source", F.col("norm_name").alias("rname")).agg(F.min("id").alias("source_id"), F.max("id").alias("hi")).filter("source_id = hi")
+    near = fuzzy.join(one, ["source", "rname"]).join(s.withColumnRenamed("norm_name", "lname").distinct(), "lname")
+    phases = {"exact": exact, "fuzzy": near.select("stream_id", "source", "source_id", F.col("score").alias("confidence"))}
+    return match.combine(phases, table(spark, d, "sources"))
+
+
+_FUZZY = """a AS (SELECT DISTINCT norm_name AS lname, list_sort(list_distinct(string_split(norm_name, ' '))) AS t1 FROM s WHERE norm_name <> ''),
+  b AS (SELECT DISTINCT source, norm_name AS rname, list_sort(list_distinct(string_split(norm_name, ' '))) AS t2 FROM c WHERE norm_name <> ''),
+  x AS (SELECT lname, unnest(t1) AS t, len(t1) AS n1 FROM a), y AS (SELECT source, rname, unnest(t2) AS t, len(t2) AS n2 FROM b),
+  m AS (SELECT lname, source, rname, n1, n2, count(*) AS c FROM x JOIN y USING (t) WHERE lname <> rname GROUP BY ALL HAVING count(*) >= 2),
+  q AS (SELECT lname, source, rname, CAST(round(2.0 * c / (n1 + n2), 6) AS DOUBLE) AS score FROM m),
+  f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lname, source ORDER BY score DESC, rname) AS rn FROM q WHERE score >= 0.85) WHERE rn <= 2)"""
+
+
+@query(f"""WITH {_NAMES}, {_FUZZY}, p AS (SELECT source, norm_name, min(id) AS lo, max(id) AS hi FROM c WHERE norm_name <> '' GROUP BY 1, 2),
+  e AS (SELECT stream_id, source, lo AS source_id, CAST(1 AS DOUBLE) AS confidence, 0 AS phase, 'exact' AS match_method FROM s JOIN p USING (norm_name) WHERE lo = hi
+    UNION ALL SELECT s.stream_id, f.source, p.lo, f.score, 1, 'fuzzy' FROM f JOIN p ON p.source = f.source AND p.norm_name = f.rname AND p.lo = p.hi JOIN s ON s.norm_name = f.lname),
+  o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY stream_id, source, source_id ORDER BY phase, confidence DESC) AS n FROM e) WHERE n = 1)
+  SELECT stream_id, source, source_id, confidence, match_method, CAST(row_number() OVER (PARTITION BY stream_id ORDER BY trust NULLS LAST, confidence DESC, source, source_id) AS INTEGER) AS rank
+  FROM o LEFT JOIN (SELECT source, trust FROM sources) USING (source)""")
+def mapping_build(spark, d):
+    return mapping_rows(spark, d)
+
+
+@query("""WITH f AS (SELECT prog_id, source, channel FROM programme WHERE channel IS NOT NULL) SELECT prog_id, source, channel FROM f
+  WHERE NOT EXISTS (SELECT 1 FROM channel c WHERE c.source = f.source AND c.id = f.channel)""")
+def missing_references(spark, d):
+    rows = table(spark, d, "programme").filter("channel is not null").select("prog_id", "source", "channel")
+    return match.missing_references(rows, ["source", "channel"], table(spark, d, "channel").select("source", F.col("id").alias("channel"))).select("prog_id", "source", "channel")
+
+
 _CAND = "cand AS (SELECT map_id, country, unnest(candidates) AS c, generate_subscripts(candidates, 1) AS pos FROM mapping)"
 
 
@@ -384,9 +420,14 @@ def double_unescape(spark, d):
     return table(spark, d, "programme").filter("title is not null").select("prog_id", tx.unescape_twice(F.col("title")).alias("title"))
 
 
-@query("SELECT prog_id, lower(trim(regexp_replace(coalesce(title, ''), '\\s+', ' ', 'g'))) AS title FROM programme WHERE regexp_matches(coalesce(title, ''), '^[ -~]*$')")
+@query()
 def clean_titles(spark, d):
-    return table(spark, d, "programme").filter(F.coalesce("title", F.lit("")).rlike("^[ -~]*$")).select("prog_id", tx.clean_title("title").alias("title"))
+    return table(spark, d, "programme").select("prog_id", tx.clean_title("title").alias("title"))
+
+
+@query()
+def transliterated_names(spark, d):
+    return table(spark, d, "channel").select("display_name").distinct().withColumn("latin", tx.transliterate("display_name"))
 
 
 @query("SELECT o_orderkey, concat(y, '-', y + 1) AS season FROM (SELECT o_orderkey, year(o_orderdate) - CASE WHEN month(o_orderdate) < 7 THEN 1 ELSE 0 END AS y FROM orders)")
