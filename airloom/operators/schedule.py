@@ -58,29 +58,52 @@ def first_wins(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(best).select(*keys, *[F.col(f"x.{c}").alias(c) for c in rest])
 
 
-def overlap_islands(rows: DataFrame) -> DataFrame:
+def _with_buckets(rows: DataFrame, seconds: int) -> DataFrame:
+    return rows.withColumn("__b", F.floor(F.col("start") / seconds))
+
+
+def _carried(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Rows with the greatest ``value`` of all earlier buckets of their channel.
+
+    Windows over one row per (channel, bucket) carry a channel's state from bucket
+    to bucket, so that the rows of a hot channel are sorted by many tasks.
+    """
+    earlier = Window.partitionBy("channel").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    per = rows.groupBy("channel", "__b").agg(F.max(value).alias("__v"))
+    return rows.join(per.select("channel", "__b", F.max("__v").over(earlier).alias(name)), ["channel", "__b"])
+
+
+def _reach(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Rows with ``reach``: how far the rows before them last, NULL for a channel's first."""
+    w = Window.partitionBy("channel", "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return _carried(rows, F.col("stop"), "__carry").withColumn("reach", F.greatest(F.max("stop").over(w), "__carry")).drop("__carry")
+
+
+def overlap_islands(rows: DataFrame, bucket: int = 7 * 86400) -> DataFrame:
     """Overlapping rows of a channel as one row if they agree on the title; islands with several titles are left out.
 
-    Adjacent rows don't overlap.  Result: channel, start, stop, title, n_rows.
+    Adjacent rows don't overlap.  Rows need a channel, and stop after start.
+    Result: channel, start, stop, title, n_rows.
     """
-    order = Window.partitionBy("channel").orderBy("start", "stop", "title")
-    reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(reach.isNull() | (F.col("start") >= reach), 1).otherwise(0)
-    island = rows.select("channel", "start", "stop", "title", new.alias("new")).withColumn("island", F.sum("new").over(order))
+    order = ["start", "stop", "title"]
+    base = rows.select("channel", *order).filter("channel is not null and stop > start")
+    began = F.when(F.col("reach").isNull() | (F.col("start") >= F.col("reach")), F.col("start"))
+    marked = _reach(_with_buckets(base, bucket), order).withColumn("__new", began)
+    w = Window.partitionBy("channel", "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    island = _carried(marked, F.col("__new"), "__island").withColumn("island", F.coalesce(F.max("__new").over(w), "__island"))
     out = island.groupBy("channel", "island").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.min_by("title", F.struct("start", "stop", "title")).alias("title"),
+        F.max("stop").alias("stop"), F.min_by("title", F.struct(*order)).alias("title"),
         F.count("*").alias("n_rows"), F.min(clean_title("title")).alias("lo"), F.max(clean_title("title")).alias("hi"),
     )
-    return out.filter("lo = hi").select("channel", "start", "stop", "title", "n_rows")
+    return out.filter("lo = hi").select("channel", F.col("island").alias("start"), "stop", "title", "n_rows")
 
 
-def covered_seconds(rows: DataFrame, now: int, horizon: int) -> DataFrame:
+def covered_seconds(rows: DataFrame, now: int, horizon: int, bucket: int = 6 * 3600) -> DataFrame:
     """Seconds of [now, now + horizon) that a channel's rows cover, overlaps once."""
-    clip = rows.select("channel", F.greatest("start", F.lit(now)).alias("start"), F.least("stop", F.lit(now + horizon)).alias("stop")).filter("stop > start")
-    order = Window.partitionBy("channel").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
-    reach = F.coalesce(F.max("stop").over(order), F.col("start"))
-    gain = F.greatest(F.lit(0), F.col("stop") - F.greatest(F.col("start"), reach))
-    return clip.withColumn("gain", gain).groupBy("channel").agg(F.sum("gain").alias("seconds"))
+    clip = rows.select("channel", F.greatest("start", F.lit(now)).alias("start"), F.least("stop", F.lit(now + horizon)).alias("stop"))
+    marked = _reach(_with_buckets(clip.filter("channel is not null and stop > start"), bucket), ["start", "stop"])
+    gain = F.greatest(F.lit(0), F.col("stop") - F.greatest("start", F.coalesce("reach", "start")))
+    return marked.withColumn("gain", gain).groupBy("channel").agg(F.sum("gain").alias("seconds"))
 
 
 def lead_stop(rows: DataFrame, order: list[str], default: int = 3600) -> DataFrame:
