@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from airloom.operators.intervals import coverage
 from airloom.operators.snapshots import snapshot_changes
 from airloom.operators.timestamps import canonical, normalise_instants
-from airloom.session import table, tune
+from airloom.session import spread, table, tune
 
 
 def whole_number(c: Column | str) -> Column:
@@ -47,7 +47,7 @@ SELECT n.snapshot_no, n.stream_id, 'changed' FROM s n
 
 def _instants(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     p = table(spark, sf_dir, "programme").select("source", "start_at", "stop_at", *columns)
-    return normalise_instants(p, table(spark, sf_dir, "sources"), {"start_at": "start_epoch", "stop_at": "stop_epoch"})
+    return normalise_instants(spread(p), table(spark, sf_dir, "sources"), {"start_at": "start_epoch", "stop_at": "stop_epoch"})
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

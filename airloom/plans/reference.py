@@ -13,7 +13,7 @@ from airloom.functions import text as tx
 from airloom.operators import cascade, match, measure, schedule
 from airloom.operators.timestamps import normalise_instants
 from airloom.plans.problems import whole_number
-from airloom.session import scratch_path, table, tune
+from airloom.session import scratch_path, spread, table, tune
 from airloom.sources import playlists, xmltv
 from airloom.streaming import monitor
 
@@ -165,7 +165,7 @@ def merged_guide(spark, d):
 @query()
 def schedule_guide(spark, d):
     """The guide of the programme table itself: times read, rows filtered, first row of a start, overlaps resolved."""
-    p = normalise_instants(table(spark, d, "programme"), table(spark, d, "sources"), {"start_at": "start", "stop_at": "stop"})
+    p = normalise_instants(spread(table(spark, d, "programme").select("prog_id", "source", "channel", "start_at", "stop_at", "title", "file_ord")), table(spark, d, "sources"), {"start_at": "start", "stop_at": "stop"})
     rows = p.filter("channel is not null and trim(title) <> ''").select("channel", "start", "stop", "title", "file_ord", "prog_id")
     rows = rows.filter((F.col("stop") > F.col("start")) & (F.col("stop") - F.col("start") <= schedule.MAX_SPAN))
     return schedule.overlap_islands(schedule.first_wins(rows, ["channel", "start"], ["file_ord", "prog_id"]))
