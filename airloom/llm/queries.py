@@ -12,7 +12,7 @@ from airloom.llm.mojibake import garbled
 from airloom.llm.packing import fill_report, packed_documents
 from airloom.llm.sentences import sentences
 from airloom.llm.survivor import present, survivors
-from airloom.session import cut, table, tune
+from airloom.session import cut, spread, table, tune
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +22,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The damaged fields with the text as it was, where nothing was lost."""
     tune(spark)
-    rows = table(spark, sf_dir, "programme").select("prog_id", "title", "descr")
+    rows = spread(table(spark, sf_dir, "programme").select("prog_id", "title", "descr"))
     return garbled(rows, "prog_id", ["title", "descr"])
 
 
@@ -93,7 +93,7 @@ def p7_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return packed_documents(docs, table(spark, sf_dir, "pack_specs"), doc_id="doc_id", text="text")
 
 
@@ -109,14 +109,14 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every leaked sentence with how much of it a document holds."""
     tune(spark)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     items = table(spark, sf_dir, "eval_items").select("item_id", F.col("text").alias("item_text"), F.col("lang").alias("item_lang"))
     return leaks(docs, items, doc_id="doc_id", text="text", item_id="item_id", item_text="item_text", item_lang="item_lang")
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
-    return sentences(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    return sentences(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")), "doc_id", "text", "lang")
 
 
 def queries():
