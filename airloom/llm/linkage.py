@@ -1,8 +1,9 @@
 """Matching entities of two tables that share no key: soft-logic linkage.
 
 Names are parsed into noisy attributes (brand, subject, number, country).
-Candidates come from equality on subject and number and from a shared deletion
-variant of the folded brand, so no block is compared pairwise beyond that.
+Candidates come from equality on subject and number and from shared deletion
+forms of the folded brand, as many deletions as the least similarity allows, so
+no block is compared pairwise beyond that.
 Every candidate pair is a variable between 0 and 1.  Weighted rules become
 hinge losses:
 
@@ -18,8 +19,10 @@ steps are joins and aggregations over DataFrames; the values are confidences.
 
 from __future__ import annotations
 
+import math
 import unicodedata
 from collections.abc import Iterator
+from itertools import combinations
 
 import pandas as pd
 import regex
@@ -187,13 +190,35 @@ class Parser:
         return glued, "", number, country, 0.5
 
 
-def variants(brand: str) -> list[str]:
-    """The brand and all forms with one letter less."""
-    return list({brand, *(brand[:i] + brand[i + 1 :] for i in range(len(brand)))}) if len(brand) > 3 else [brand]
+def allowed(length: int, least: float) -> int:
+    """Edits between two names that keep a similarity of ``least``, given the longer one's length."""
+    return math.floor((1 - least) * length + 1e-9)
 
 
-def similarity(a: str, b: str) -> float:
-    return 1.0 if a == b else max(0.0, 1 - distance(a, b, 3) / max(len(a), len(b), 1))
+def block_keys(brand: str, least: float, kept: int = 6) -> list[str]:
+    """Keys of which any two brands with a similarity of ``least`` share one.
+
+    Two names at most k edits apart have a common rest after k deletions in each;
+    so their first kept + k letters (filled up at the end) share a form with k
+    letters less.  k depends on the longer name, so a name has keys for every k
+    that a partner of its length or a longer one may bring.
+    """
+    n, keys = len(brand), set()
+    longest = n
+    while longest + 1 - n <= allowed(longest + 1, least):
+        longest += 1
+    for k in range(allowed(n, least), allowed(longest, least) + 1):
+        head = brand[: kept + k].ljust(kept + k)
+        keys |= {f"{k} {''.join(x)}" for x in combinations(head, kept)}
+    return sorted(keys)
+
+
+def similarity(a: str, b: str, least: float = 0.0) -> float:
+    """1 less the edits per letter of the longer name; 0 where that is below ``least``."""
+    size = max(len(a), len(b), 1)
+    most = allowed(size, least)
+    d = 0 if a == b else distance(a, b, most)
+    return 1 - d / size if d <= most else 0.0
 
 
 def subject_words(names: DataFrame, name: str, codes: set[str], share: float = 0.002) -> list[str]:
@@ -226,27 +251,27 @@ def parsed(rows: DataFrame, name: str, parser: Parser) -> DataFrame:
     return rows.join(texts.mapInPandas(run, schema), rows[name] == F.col("text")).drop("text")
 
 
-def _similar(pairs: DataFrame, a: str, b: str) -> DataFrame:
+def _similar(pairs: DataFrame, a: str, b: str, least: float) -> DataFrame:
     """Distinct brand pairs with their similarity."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in batches:
-            yield t.assign(brand_sim=[similarity(x, y) for x, y in zip(t[a], t[b])])
+            yield t.assign(brand_sim=[similarity(x, y, least) for x, y in zip(t[a], t[b])])
 
     return pairs.select(a, b).distinct().mapInPandas(run, f"{a} string, {b} string, brand_sim double")
 
 
 def brand_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
-    """Columns brand, other, brand_sim for brands of the two sides that share a deletion variant."""
+    """Columns brand, other, brand_sim for all brands of the two sides with a similarity of ``least``."""
 
     def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [(x, v) for x in b["brand"] for v in variants(x)]
+            out = [(x, v) for x in b["brand"] for v in block_keys(x, least)]
             yield pd.DataFrame(out, columns=["brand", "v"])
 
     a = left.select("brand").distinct().mapInPandas(spell, "brand string, v string")
     b = right.select("brand").distinct().mapInPandas(spell, "brand string, v string").withColumnRenamed("brand", "other")
-    return _similar(a.join(b, "v"), "brand", "other").filter(F.col("brand_sim") >= least)
+    return _similar(a.join(b, "v"), "brand", "other", least).filter(F.col("brand_sim") >= least)
 
 
 def solve(terms: DataFrame, potentials: DataFrame, *, rounds: int = 12, rho: float = 1.0) -> DataFrame:

@@ -76,6 +76,26 @@ def test_edit_distance_brute():
         assert min(brute(a, b), 4) == min(linkage.distance(a, b, 3), 4)
 
 
+def test_brand_pairs_complete(spark):
+    """Every pair of brands with the least similarity, against all pairs compared."""
+    rng = random.Random(6)
+
+    def edited(w, n):
+        for _ in range(n):
+            i = rng.randrange(len(w))
+            w = rng.choice([w[:i] + w[i + 1 :], w[:i] + rng.choice("abk") + w[i:], w[:i] + rng.choice("abk") + w[i + 1 :], w[:i] + w[i : i + 2][::-1] + w[i + 2 :]]) or "a"
+        return w
+
+    roots = ["".join(rng.choice("abcdk") for _ in range(n)) for n in (1, 2, 3, 4, 5, 6, 7, 8, 9, 11, 13, 14, 18, 25)]
+    left = sorted({*roots, *map(linkage.fold, ("Caarfon", "Naarvia", "Lorrio", "Wexxilux", "Velelcor"))})
+    right = sorted({edited(w, rng.randrange(7)) for w in left for _ in range(12)} | set(map(linkage.fold, ("Calarfon", "Nararvia", "Loririo", "Wexilux", "Vellcor"))))
+    df = lambda names: spark.createDataFrame([(n,) for n in names], "brand string")
+    got = {(r.brand, r.other) for r in linkage.brand_pairs(df(left), df(right), 0.7).collect()}
+    want = {(a, b) for a in left for b in right if 1 - linkage.distance(a, b, 99) / max(len(a), len(b)) >= 0.7}
+    assert got == want
+    assert {tuple(map(linkage.fold, p)) for p in (("Caarfon", "Calarfon"), ("Lorrio", "Loririo"), ("Wexxilux", "Wexilux"))} <= got
+
+
 # --- 6: survivors -----------------------------------------------------------------------------
 def brute_groups(rows):
     parent = {}
