@@ -5,11 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airloom.functions.text import clean_title
+from airloom.functions.text import clean_title, sequence_ratio, token_sort_ratio
 from airloom.operators.schedule import first_wins, overlap_islands
+from airloom.session import cut
 
 # Titles that stand for no information.
 PLACEHOLDERS = ("no information", "to be announced", "tba", "n/a", "off air", "no programme", "unknown")
+# Whole titles and parts of titles that leave a title out of a comparison.
+FILLER_TITLES = ("to be announced", "tba")
+FILLER_PARTS = ("teleshopping", "no match", "no information", "channel off air", "servicestatus", "channel no longer available", "programmes start at")
+
+
+def title_conflict_pairs(rows: DataFrame, keys: list[str], *, below: float = 0.68) -> DataFrame:
+    """All pairs of materially different titles per key: columns keys, a, b, ratio, sorted_ratio.
+
+    rows: keys, title.  Every two distinct cleaned titles of a key are compared
+    (a before b), fillers and empty titles left out; rows with a NULL key conflict with none.
+    """
+    t = clean_title("title")
+    named = rows.select(*keys, t.alias("a")).dropna(subset=keys).filter((F.col("a") != "") & ~F.col("a").isin(*FILLER_TITLES))
+    for p in FILLER_PARTS:
+        named = named.filter(~F.contains(F.col("a"), F.lit(p)))
+    named = cut(named.distinct(), "titles")
+    pairs = named.join(named.withColumnRenamed("a", "b"), keys).filter("a < b")
+    return pairs.withColumn("ratio", sequence_ratio("a", "b")).filter(F.col("ratio") < below).withColumn("sorted_ratio", token_sort_ratio("a", "b"))
 
 
 def placeholder(title: Column | str) -> Column:

@@ -453,9 +453,10 @@ def call_signs(spark, d):
 
 @query()
 def title_conflicts(spark, d):
-    """Similarity of the two titles of neighbouring rows that share a channel and a start."""
-    p = table(spark, d, "programme").filter("channel is not null and trim(title) <> ''").groupBy("channel", "start_at").agg(F.min(tx.clean_title("title")).alias("a"), F.max(tx.clean_title("title")).alias("b"))
-    return p.filter("a <> b").withColumn("ratio", tx.sequence_ratio("a", "b")).withColumn("sorted_ratio", tx.token_sort_ratio("a", "b"))
+    """Pairs of materially different titles that share a channel and an instant of start."""
+    rows = spread(table(spark, d, "programme").select("source", "channel", "start_at", "title"))
+    p = normalise_instants(rows, table(spark, d, "sources"), {"start_at": "start"})
+    return cascade.title_conflict_pairs(p, ["channel", "start"])
 
 
 # --- streams --------------------------------------------------------------------------------------------

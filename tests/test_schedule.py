@@ -67,6 +67,23 @@ def test_cascade_steps(spark):
     assert {(r.channel, r.title) for r in cascade.merge(df, picked).collect()} == {("keeps", "Film"), ("off", "News"), ("filler", "News"), ("empty", "Film")}
 
 
+def test_title_conflicts_all_pairs(spark, tmp_path):
+    """Middle titles conflict, two notations are one instant, fillers and near titles are left out."""
+    import difflib
+
+    from airloom.plans import reference
+
+    titles = ["Alpine Rescue", "Football Night", "Garden Hour", "garden  hour", "The Garden Hour", "Zebra", "TBA", "No information", " ", None]
+    starts = ["20240115120000 +0000", "2024-01-15T13:00:00+01:00"]
+    rows = [("s", "c", starts[i % 2], t) for i, t in enumerate(titles)] + [("s", "c", "rubbish", "Other"), ("s", None, starts[0], "Other"), ("s", "d", starts[0], "Other")]
+    spark.createDataFrame(rows, "source string, channel string, start_at string, title string").write.parquet(f"file://{tmp_path}/programme.parquet")
+    spark.createDataFrame([("s", "UTC")], "source string, tz_name string").write.parquet(f"file://{tmp_path}/sources.parquet")
+    got = {(r.channel, r.start, r.a, r.b) for r in reference.queries()["title_conflicts"](spark, f"file://{tmp_path}").collect()}
+    names = ["alpine rescue", "football night", "garden hour", "the garden hour", "zebra"]
+    want = {("c", 1705320000, a, b) for a in names for b in names if a < b and difflib.SequenceMatcher(None, a, b).ratio() < 0.68}
+    assert got == want and ("c", 1705320000, "football night", "garden hour") in got
+
+
 def test_fuzzy_against_brute_force(spark):
     rng = random.Random(7)
     words = "red green blue news film kids plus two".split()
