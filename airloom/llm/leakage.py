@@ -44,6 +44,7 @@ class Rules:
     pattern_chars: int = 13
     pattern_chars_cjk: int = 5
     max_items: float = 0.02  # a pattern is distinctive if at most this share of items (or three) has it
+    apart: int = 3  # patterns of a sentence without a common word: one more than the altered words that may hit them
     gap: int = 2  # tokens that may differ in a row
     matched: float = 0.82
     matched_cjk: float = 0.87
@@ -132,18 +133,41 @@ class Detector:
         most = max(3, rules.max_items * n)
         self.searches = []
         for cjk, found in grams.items():
-            few = lambda p, posts: len({self.sentences[s][0] for s, _ in posts}) <= most
+            few = lambda posts: len({self.sentences[s][0] for s, _ in posts}) <= most
             # words of few items mark a pattern best; characters say nothing by themselves
             named = lambda p, cjk=cjk: cjk or any(len(owners[w]) <= 3 for w in p.split())
-            kept = {p: posts for p, posts in found.items() if few(p, posts) and named(p)}
-            # a sentence without a distinctive pattern keeps all of its patterns
-            covered = {s for posts in kept.values() for s, _ in posts}
+            tiers = {p: 2 if not few(posts) else 0 if named(p) else 1 for p, posts in found.items()}
+            kept: dict[str, list] = {p: posts for p, posts in found.items() if not tiers[p]}
+            own: dict[int, list[tuple[int, int, str, int]]] = defaultdict(list)
             for p, posts in found.items():
-                if any(s not in covered for s, _ in posts):
-                    kept[p] = posts
+                for s, i in posts:
+                    own[s].append((tiers[p], len(posts), p, i))
+            for s, patterns in own.items():
+                for p, i in self._spares(patterns, owners, cjk):
+                    kept.setdefault(p, []).append((s, i))
             if kept:
                 self.searches.append(WuManber(kept, 4 if cjk else 3))
 
+    def _spares(self, patterns: list[tuple[int, int, str, int]], owners: dict[str, set], cjk: bool) -> list[tuple[str, int]]:
+        """Patterns to add to the best tier's, so that no two altered words remove all of a sentence's patterns.
+
+        patterns: tier, frequency, text, position.  Three patterns without a common
+        place or rare word suffice; a sentence that has no three keeps all it has.
+        """
+        used: set = set()
+        apart, out = 0, []
+        for tier, _, p, i in sorted(patterns, key=lambda x: (x[0], x[1], x[3])):
+            if apart == self.rules.apart and tier:
+                break
+            words = p.split()
+            marks = {*range(i, i + len(words)), *(w for w in words if not cjk and len(owners[w]) <= 3)}
+            if marks.isdisjoint(used):
+                used |= marks
+                apart += 1
+                if tier:
+                    out.append((p, i))
+        return out if apart >= self.rules.apart else [(p, i) for tier, _, p, i in patterns if tier]
+
     def _run(self, text: str, words: list[str], cjk: bool) -> int:
         """The run in tokens; characters of ``run_cjk`` include punctuation."""
         if not cjk:

@@ -226,6 +226,20 @@ def test_leaks(spark):
     assert leakage.leaks(df.drop("item_id"), items.filter("false"), **args).count() == 0
 
 
+def test_altered_name_is_found():
+    """A sentence whose only rare word is changed keeps other patterns; so does one with a second change."""
+    rng = random.Random(10)
+    vocab = "harbour window garden letter bridge winter silver morning captain village orchard mirror thunder station meadow lantern".split()
+    items = [(k, " ".join([f"Brindle{k}", *rng.sample(vocab, 16)]) + ".", "en") for k in range(4)] + [(10 + k, f"Nothing number{k} here.", "en") for k in range(8)]
+    words = rng.sample(vocab, 16)
+    words.insert(8, "Quorlandia")
+    d = leakage.Detector([*items, (99, " ".join(words) + ".", "en")])
+    for j in (0, 3, 12, 16):
+        one = [*words[:8], "Somewhere", *words[9:]]
+        two = [*one[:j], "zebra", *one[j + 1 :]]
+        assert (99, 0) in d.scan(" ".join(one)) and (99, 0) in d.scan(" ".join(two)), j
+
+
 # --- 10: sentences ----------------------------------------------------------------------------
 SPLIT = [
     ("en", ["From the archive", "Dr. K. E. Rik said: \"It is gone.\"", "So at 8.30 p.m. Zen signs off... or does it?!", "It ended at 9 p.m.", "(See No. 4, p. 10.)"]),
