@@ -270,11 +270,10 @@ _ROMANCE = regex.compile(r"\b(?:the|of|and|le|la|les|el|los|do|da|em|na|w|z|się
 
 
 def guess_language(text: str, lang: str | None) -> str:
-    """The given language, or German where its function words prevail in the text's first part."""
+    """The given language, or German where its function words prevail in the whole text."""
     if lang:
         return lang.strip().lower()[:2]
-    head = text[:4000]
-    return "de" if len(_GERMAN.findall(head)) > len(_ROMANCE.findall(head)) else ""
+    return "de" if sum(1 for _ in _GERMAN.finditer(text)) > sum(1 for _ in _ROMANCE.finditer(text)) else ""
 
 
 def sentences_of(text: str, lang: str | None = None) -> list[tuple[int, int]]:

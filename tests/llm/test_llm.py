@@ -272,3 +272,10 @@ def test_chunks_equal_whole(spark):
     got = sorted((r.doc_id, r.sent_from, r.sent_to) for r in sentences.sentences(df, "doc_id", "text", "lang", chunk=300).collect())
     want = sorted((i, a, b) for i, t, lang, _ in docs if t for a, b in sentences.sentences_of(t, lang))
     assert got == want
+
+
+def test_language_of_whole_text():
+    text = "Zahlen Tabelle Anhang. " * 200 + "Die Sendung und der Film am 22. Staffel ist auf das Ende von der Reihe nicht ein Teil."
+    assert len(text) > 4500 and sentences.guess_language(text, None) == "de"
+    assert sentences.sentences_of(text, None) == sentences.sentences_of(text, "de")
+    assert sentences.guess_language(text, " EN") == "en"
