@@ -30,6 +30,8 @@ _INVISIBLE = re.compile("[\u00ad\u034f\u200b-\u200f\u2060-\u2064\ufeff]+")
 _MARKS = re.compile("[\u0300-\u036f\u00ad\u200b-\u200f\u2060-\u2064\ufeff]+")
 # scripts whose marks are letters of their own, or whose words need the full token rule
 _OWN_RULES = re.compile("[\u0590-\u0fff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]")
+# words that lose their marks in every document
+_MARKED = regex.compile(r"(?=\P{ASCII})[\p{Latin}\p{Greek}\p{Cyrillic}][\p{M}]*|(?<=\p{ASCII})[\u0300-\u036f]+")
 _PLAIN = re.compile(r"[^\W_]+")
 
 
@@ -56,7 +58,8 @@ def tokens(text: str) -> list[str]:
     if text.isascii():
         return _PLAIN.findall(text.lower())
     if _OWN_RULES.search(text):
-        return _TOKEN.findall(_INVISIBLE.sub("", unicodedata.normalize("NFKC", text).casefold()))
+        whole = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text).casefold())
+        return _TOKEN.findall(_MARKED.sub(lambda m: _MARKS.sub("", unicodedata.normalize("NFKD", m.group())), whole))
     return _PLAIN.findall(_MARKS.sub("", unicodedata.normalize("NFKD", text)).casefold())
 
 

@@ -240,6 +240,14 @@ def test_altered_name_is_found():
         assert (99, 0) in d.scan(" ".join(one)) and (99, 0) in d.scan(" ".join(two)), j
 
 
+def test_tokens_by_word():
+    """A letter of another script elsewhere in a text changes no Latin, Greek or Cyrillic word."""
+    for t in ["Première Rivière à l’été", "Żółta Księga q\u0301x", "Η αυλή του ποιητή", "Мой чёрный край", "İstanbul Straße"]:
+        for other in ("北", "שלום", "बाग", "สวน"):
+            assert leakage.tokens(f"{t} {other}")[: len(leakage.tokens(t))] == leakage.tokens(t), (t, other)
+    assert leakage.tokens("गुप्त बाग é") == ["गुप्त", "बाग", "e"]
+
+
 # --- 10: sentences ----------------------------------------------------------------------------
 SPLIT = [
     ("en", ["From the archive", "Dr. K. E. Rik said: \"It is gone.\"", "So at 8.30 p.m. Zen signs off... or does it?!", "It ended at 9 p.m.", "(See No. 4, p. 10.)"]),
