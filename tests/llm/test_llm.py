@@ -199,17 +199,79 @@ def test_packing_invariants(spark):
 ITEM = "The keeper of Quorlandia never said why the copper lantern left Wexhaven after only seventeen weeks of silent rain. Who moved Brindlemark to the far side of the velvet harbour at noon?"
 
 
-def test_wu_manber_against_find():
+def test_wu_manber_against_comparison():
     rng = random.Random(9)
-    text = "".join(rng.choice("abc") for _ in range(4000))
-    patterns = {"".join(rng.choice("abc") for _ in range(rng.randrange(5, 9))): [] for _ in range(120)}
+    text = [rng.choice("abc") for _ in range(4000)]
+    patterns = {tuple(rng.choice("abc") for _ in range(rng.randrange(4, 7))): [] for _ in range(120)}
     for p in patterns:
         patterns[p] = [p]
-    got = {(at, posts[0]) for at, posts in leakage.WuManber(patterns, 3).find(text)}
-    want = {(i, p) for p in patterns for i in range(len(text)) if text.startswith(p, i)}
+    got = {(at, posts[0]) for at, posts in leakage.WuManber(patterns).find(text)}
+    want = {(i, p) for p in patterns for i in range(len(text)) if tuple(text[i : i + len(p)]) == p}
     assert got == want
 
 
+VOCAB = [f"{a}{b}" for a in "ba do ki lu me ro sa te vi zo na pe fu gi".split() for b in "rin tal mos ver dak lep nus gar fil bon hat rud sol wex".split()]
+
+
+def _sentences(items, rules=leakage.Rules()):
+    """The detector's input by plain counting."""
+    owners, out = defaultdict(set), []
+    for i, text in items:
+        for w in leakage.tokens(text):
+            owners[w].add(i)
+    for i, text in items:
+        for k, (a, b) in enumerate(sentences.sentences_of(text, "en")):
+            words = leakage.tokens(text[a:b])
+            if need := leakage.needed(text[a:b], words, False, rules):
+                out.append(leakage.Sentence(i, k, words, [len(owners[w]) for w in words], len(items), need, False))
+    return out
+
+
+@pytest.mark.parametrize("n", [20, 300, 5000])
+def test_every_run_is_found(n):
+    """A run of 15 words anywhere in a sentence of common words, as it is and with two words altered."""
+    rng = random.Random(n)
+    items = [(i, " ".join([f"qx{i}", f"zy{i}", *(rng.choice(VOCAB) for _ in range(30))]) + ".") for i in range(n)]
+    detector = leakage.Detector(_sentences(items))
+    for i, text in rng.sample(items, 20):
+        words = text.rstrip(".").split()
+        for at in (2, rng.randrange(2, 17), 17):
+            run = words[at : at + 15]
+            noise = lambda: [rng.choice(VOCAB) for _ in range(40)]
+            assert (i, 0) in detector.scan(" ".join([*noise(), *run, *noise()])), (i, at)
+            for j in rng.sample(range(1, 14), 2):
+                run[j] = "altered"
+            s = next(s for s in detector.sentences if s.item == i)
+            kept = [tuple(s.words[p : p + 3]) for p in leakage.patterns_of(s, leakage.Rules())]
+            assert any(tuple(run[p : p + 3]) in kept for p in range(13)), (i, at)
+
+
+def test_patterns_in_every_stretch():
+    rng = random.Random(4)
+    for cjk in (False, True):
+        for _ in range(60):
+            n = rng.randrange(6, 60)
+            need = rng.randrange(6, n + 1)
+            s = leakage.Sentence(1, 0, [str(i) for i in range(n)], [rng.choice([1, 2, 50, 300]) for _ in range(n)], 300, need, cjk)
+            size, starts = 5 if cjk else 3, leakage.patterns_of(s, leakage.Rules())
+            for a in range(n - need + 1):
+                at, count = a, 0
+                for p in starts:
+                    if p >= at and p + size <= a + need:
+                        at, count = p + size, count + 1
+                assert count >= min(3, (need - 1) // size) or need < 3 * size + 1 and len(starts) == n - size + 1
+
+
+def test_blocks_dont_matter(spark):
+    rng = random.Random(12)
+    items = [(i, " ".join(rng.choice(VOCAB) for _ in range(20)) + ". " + " ".join(rng.choice(VOCAB) for _ in range(9)) + ".", "en") for i in range(40)]
+    docs = [(k, " ".join([*(rng.choice(VOCAB) for _ in range(30)), *items[k][1].split()[3:19]])) for k in range(40)]
+    a = (spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, item_text string, item_lang string"))
+    args = dict(doc_id="doc_id", text="text", item_id="item_id", item_text="item_text", item_lang="item_lang")
+    one, many = (sorted(map(tuple, leakage.leaks(*a, **args, most_tokens=m).collect())) for m in (400_000, 200))
+    assert one == many and {(k, k) for k in range(40)} <= {(r[0], r[1]) for r in one}
+
+
 def test_leaks(spark):
     whole = ITEM.split(". ")[1]
     run = " ".join(ITEM.split()[2:17])
@@ -233,7 +295,7 @@ def test_altered_name_is_found():
     items = [(k, " ".join([f"Brindle{k}", *rng.sample(vocab, 16)]) + ".", "en") for k in range(4)] + [(10 + k, f"Nothing number{k} here.", "en") for k in range(8)]
     words = rng.sample(vocab, 16)
     words.insert(8, "Quorlandia")
-    d = leakage.Detector([*items, (99, " ".join(words) + ".", "en")])
+    d = leakage.Detector(_sentences([*((k, t) for k, t, _ in items), (99, " ".join(words) + ".")]))
     for j in (0, 3, 12, 16):
         one = [*words[:8], "Somewhere", *words[9:]]
         two = [*one[:j], "zebra", *one[j + 1 :]]
