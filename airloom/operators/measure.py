@@ -56,3 +56,55 @@ def regression_gate(now: DataFrame, before: DataFrame, ratios: dict[str, float],
         for m, r in ratios.items()
     ])
     return pairs.select(F.inline(rows))
+
+
+def currency_share(rows: DataFrame, key: str, now: int) -> DataFrame:
+    """Share of a key's programmes whose stop lies today (UTC) or later: columns key, share.
+
+    rows: key, stop (epoch, NULL if unreadable).  A key with programmes but no
+    readable stop has share 0; keys without programmes have no row here.
+    """
+    today = now - now % 86400
+    share = F.avg(F.when(F.col("stop") >= today, 1.0).when(F.col("stop").isNotNull(), 0.0))
+    return rows.groupBy(key).agg(F.round(F.coalesce(share, F.lit(0.0)), 6).alias("share"))
+
+
+def selection_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """How often each combination of keys was chosen; NULL counts as ``none``."""
+    named = [F.coalesce(F.col(k).cast("string"), F.lit("none")).alias(k) for k in keys]
+    return rows.select(*named).groupBy(*keys).agg(F.count("*").alias("n_rows"))
+
+
+def single_valued(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Keys with exactly one distinct value that is not NULL, and that value."""
+    one = rows.groupBy(*keys).agg(F.min(value).alias(value), F.max(value).alias("__hi"))
+    return one.filter(F.col(value) == F.col("__hi")).drop("__hi")
+
+
+def expected_status(expected: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """Every expected key with its number of rows and whether it has any: columns key, n_rows, ok."""
+    n = rows.groupBy(key).agg(F.count("*").alias("n_rows"))
+    return expected.select(key).distinct().join(n, key, "left").select(key, F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.col("n_rows").isNotNull().alias("ok"))
+
+
+def staleness(rows: DataFrame, key: str, at: str, now: int) -> DataFrame:
+    """Newest ``at`` of a key and how many seconds ago that is (0 if it lies ahead): columns key, newest, age."""
+    return rows.filter(F.col(at).isNotNull()).groupBy(key).agg(F.max(at).alias("newest")).withColumn("age", F.greatest(F.lit(0), F.lit(now) - F.col("newest")))
+
+
+def retained_share(before: DataFrame, now: DataFrame, key: str, least: float = 0.95) -> DataFrame:
+    """One row: n_before, n_kept, passed; keys before that still exist.  Nothing before is no pass."""
+    a, b = before.select(key).distinct(), now.select(key).distinct().withColumn("__kept", F.lit(1))
+    out = a.join(b, key, "left").agg(F.count("*").alias("n_before"), F.count("__kept").alias("n_kept"))
+    return out.withColumn("passed", (F.col("n_before") > 0) & (F.col("n_kept") >= F.col("n_before") * least))
+
+
+def country_names(rows: DataFrame) -> DataFrame:
+    """Per country: rows, covered ones, and the distinct names of the others in order; columns country, n_rows, n_covered, open_names.
+
+    rows: country, name, covered.  A country's list holds each name once.
+    """
+    names = rows.filter("not covered and name is not null").select("country", "name").distinct().groupBy("country").agg(F.sort_array(F.collect_list("name")).alias("open_names"))
+    n = rows.groupBy("country").agg(F.count("*").alias("n_rows"), F.count(F.when(F.col("covered"), 1)).alias("n_covered"))
+    empty = F.array().cast("array<string>")
+    return n.join(names, "country", "left").withColumn("open_names", F.coalesce("open_names", empty))

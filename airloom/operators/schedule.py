@@ -6,13 +6,11 @@ gives an empty result; NULL times never pass a filter on them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airloom.functions.text import clean_title
+from airloom.operators.sequence import WEEK, neighbour, running
 
 MAX_SPAN = 31 * 86400
 
@@ -108,8 +106,9 @@ def covered_seconds(rows: DataFrame, now: int, horizon: int, bucket: int = 6 * 3
 
 def lead_stop(rows: DataFrame, order: list[str], default: int = 3600) -> DataFrame:
     """Stop as the next start of the channel, else ``default`` later; only positive rows."""
-    nxt = F.lead("start").over(Window.partitionBy("channel").orderBy("start", *order))
-    return rows.withColumn("stop", F.coalesce(nxt, F.col("start") + default)).filter("stop > start")
+    nxt = neighbour(rows, ["channel"], "start", order, F.col("start"), "__next")
+    out = nxt.withColumn("stop", F.coalesce("__next", F.col("start") + default)).drop("__next")
+    return out.filter("stop > start")
 
 
 def rollover(rows: DataFrame, day: int = 86400) -> DataFrame:
@@ -117,43 +116,40 @@ def rollover(rows: DataFrame, day: int = 86400) -> DataFrame:
     return rows.withColumn("stop", F.when(F.col("stop") <= F.col("start"), F.col("stop") + day).otherwise(F.col("stop")))
 
 
-def half_day_clock(rows: DataFrame, key: str, order: str, begin: str, end: str, slack: int = 15) -> DataFrame:
+def half_day_clock(rows: DataFrame, key: str, order: list[str], begin: str, end: str, slack: int = 15, bucket: int = WEEK) -> DataFrame:
     """Minutes of a clock without a.m./p.m. made ascending: half a day is added while a row begins before the last one ended.
 
-    The one operator whose rows depend on each other's result: sorted partitions
-    are read as a stream, with the last end of a key as the only state.
+    With k half days added to a row, the next one needs max(0, k + c), where c
+    depends on the two rows alone; that recursion is a running sum less its running
+    minimum (0 at most).  order: columns, the first one numeric.  Rows with a NULL
+    time are left out.
+    """
+    at, rest = order[0], order[1:]
+    base = rows.filter(F.col(begin).isNotNull() & F.col(end).isNotNull())
+    a, b = F.col(begin), F.col(end)
+    length = b - a + 720 * F.greatest(F.lit(0), F.ceil((a - b) / 720))
+    base = neighbour(base.withColumn("__len", length), [key], at, rest, a + F.col("__len"), "__ended", step=-1, bucket=bucket)
+    base = base.withColumn("__c", F.coalesce(F.ceil((F.col("__ended") - slack - a) / 720), F.lit(0)))
+    base = running(base, [key], at, rest, {"__sum": ("sum", F.col("__c"))}, bucket=bucket)
+    base = running(base, [key], at, rest, {"__low": ("min", F.col("__sum"))}, bucket=bucket)
+    shifted = a + 720 * (F.col("__sum") - F.least(F.lit(0), "__low"))
+    kind = {f.name: f.dataType for f in rows.schema.fields}
+    out = base.withColumn("__start", shifted)
+    return out.withColumns({begin: F.col("__start").cast(kind[begin]), end: (F.col("__start") + F.col("__len")).cast(kind[end])}).select(*rows.columns)
+
+
+def failure_runs(rows: DataFrame, key: str, order: list[str], failed: Column, bucket: int = WEEK) -> DataFrame:
+    """Length of the current run of failures at each row (``run_length``); a success resets it.
+
+    order: columns, the first one numeric.
     """
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key_now, last = object(), None
-        for b in batches:
-            starts, ends = [], []
-            for k, s, e in zip(b[key], b[begin], b[end]):
-                if k != key_now:
-                    key_now, last = k, None
-                while last is not None and s < last - slack:
-                    s, e = s + 720, e + 720
-                while e < s:
-                    e += 720
-                last = e
-                starts.append(s)
-                ends.append(e)
-            yield b.assign(**{begin: starts, end: ends})
-
-    return rows.filter(f"{begin} is not null and {end} is not null").repartition(n, key).sortWithinPartitions(key, order).mapInPandas(run, rows.schema)
-
-
-def failure_runs(rows: DataFrame, key: str, order: list[str], failed: Column) -> DataFrame:
-    """Length of the current run of failures at each row; a success resets it."""
-    w = Window.partitionBy(key).orderBy(*order)
-    part = F.sum(F.when(failed, 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    marked = rows.withColumn("__part", part).withColumn("__bad", F.when(failed, 1).otherwise(0))
-    run = F.sum("__bad").over(Window.partitionBy(key, "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return marked.withColumn("run_length", run).drop("__part", "__bad")
-
-
-def carry_forward(rows: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:
-    """Missing cells take the last value above them (row spans of a table)."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+    at, rest = order[0], order[1:]
+    out = running(rows.withColumn("__bad", failed), [key], at, rest, {"__n": ("sum", F.when(F.col("__bad"), 1).otherwise(0))}, bucket=bucket)
+    out = running(out, [key], at, rest, {"__base": ("max", F.when(~F.col("__bad"), F.col("__n")))}, bucket=bucket)
+    return out.withColumn("run_length", F.col("__n") - F.coalesce("__base", F.lit(0))).drop("__bad", "__n", "__base")
+
+
+def carry_forward(rows: DataFrame, key: str, order: list[str], columns: list[str], bucket: int = WEEK) -> DataFrame:
+    """Missing cells take the last value above them (row spans of a table); order: columns, the first one numeric."""
+    out = running(rows, [key], order[0], order[1:], {c: ("last", F.col(c)) for c in columns}, bucket=bucket)
+    return out.select(*rows.columns)

@@ -117,49 +117,83 @@ def carry_forward(spark, d):
     return schedule.carry_forward(rows, "channel", ["start", "event_id"], ["t"]).select("event_id", "channel", "t")
 
 
-@query()
+@query(f"""WITH RECURSIVE {SHOWS}, r AS (SELECT event_id, channel, start // 86400 AS day, (start // 60) % 720 AS a, (stop // 60) % 720 AS b,
+    row_number() OVER (PARTITION BY channel, start // 86400 ORDER BY start, event_id) AS n FROM shows WHERE start IS NOT NULL AND stop IS NOT NULL),
+  w AS (SELECT *, b - a + 720 * greatest(0, CAST(ceil((a - b) / 720) AS BIGINT)) AS len FROM r),
+  c AS (SELECT event_id, channel, day, n, a, len, CAST(0 AS BIGINT) AS k FROM w WHERE n = 1
+    UNION ALL SELECT w.event_id, w.channel, w.day, w.n, w.a, w.len, greatest(0, CAST(ceil((c.a + 720 * c.k + c.len - 15 - w.a) / 720) AS BIGINT))
+    FROM c JOIN w ON w.channel = c.channel AND w.day = c.day AND w.n = c.n + 1)
+  SELECT event_id, a + 720 * k AS a, a + 720 * k + len AS b FROM c""")
 def half_day_clock(spark, d):
     rows = shows(spark, d).select("event_id", "channel", F.floor(F.col("start") / 86400).alias("day"), (F.floor(F.col("start") / 60) % 720).alias("a"), (F.floor(F.col("stop") / 60) % 720).alias("b"), "start")
     rows = rows.withColumn("key", F.concat_ws("/", "channel", F.col("day").cast("string")))
-    return schedule.half_day_clock(rows, "key", "start", "a", "b").select("event_id", "a", "b")
+    return schedule.half_day_clock(rows, "key", ["start", "event_id"], "a", "b", bucket=6 * 3600).select("event_id", "a", "b")
 
 
 # --- cascade ------------------------------------------------------------------------------------
-def _ranked(spark, d):
-    """Every event as a row of one of three candidates of its user."""
-    return shows(spark, d).filter("stop > start").withColumn("stream", F.col("channel")).withColumn("rank", F.col("event_id") % 3 + 1).withColumn(
-        "title", F.when(F.col("title") == "error", "TBA").otherwise(F.col("title"))
-    )
-
+_TITLES = {"signup": "Garden Hour", "click": "Into the Unknown", "view": "Live Football", "purchase": "The Garden Hour"}
+_FILLERS = ("TBA", "Teleshopping Hour", " to  be announced", "No Match today")
 
-_RANKED = "ranked AS (SELECT event_id, channel AS stream, event_id % 3 + 1 AS rank, start, stop, CASE WHEN title = 'error' THEN 'TBA' ELSE title END AS title FROM shows WHERE stop > start)"
-_SUMMARY = f"""summary AS (SELECT stream, rank, count(*) AS n_rows, arg_min(title, (start, title)) FILTER (WHERE start <= {NOW} AND stop > {NOW}) AS active_title,
-  bool_and(title = 'TBA') AS all_placeholder FROM ranked GROUP BY 1, 2)"""
-_PICK = """one AS (SELECT stream, min(rank) AS r, arg_min(coalesce(active_title, '?none'), rank) AS act, arg_min(all_placeholder, rank) AS allp,
-    min(rank) FILTER (WHERE active_title IS NOT NULL AND active_title <> 'TBA') AS good, min(rank) FILTER (WHERE NOT all_placeholder) AS real FROM summary GROUP BY 1),
-  step AS (SELECT *, CASE WHEN act = '?none' AND good > r THEN 2 WHEN act = 'TBA' AND good > r THEN 3 WHEN allp AND real IS NOT NULL THEN 4 ELSE 1 END AS step FROM one),
-  picked AS (SELECT stream, CASE WHEN step IN (2, 3) THEN good WHEN step = 4 THEN real ELSE r END AS rank, step FROM step)"""
 
-
-@query(f"WITH {SHOWS}, {_RANKED}, {_SUMMARY} SELECT stream, rank, n_rows, active_title, all_placeholder FROM summary")
+def _ranked(spark, d):
+    """Every event as a row of one of three candidates of its user; errors have filler titles."""
+    title = F.create_map(*[F.lit(x) for p in _TITLES.items() for x in p])[F.col("title")]
+    filler = F.element_at(F.array(*map(F.lit, _FILLERS)), (F.col("event_id") % 4 + 1).cast("int"))
+    method = F.element_at(F.array(F.lit("exact"), F.lit("fuzzy"), F.lit("alias")), (F.col("event_id") % 3 + 1).cast("int"))
+    return shows(spark, d).filter("stop > start").select(
+        "event_id", F.col("channel").alias("stream"), (F.col("event_id") % 3 + 1).alias("rank"), method.alias("match_method"),
+        "start", "stop", F.coalesce(title, filler).alias("title"),
+    )
+
+
+_SHOWN = " ".join(f"WHEN title = '{k}' THEN '{v}'" for k, v in _TITLES.items())
+_RANKED = f"""ranked AS (SELECT event_id, channel AS stream, event_id % 3 + 1 AS rank, event_id % 3 <> 1 AS sure, start, stop,
+  CASE {_SHOWN} ELSE list_extract({list(_FILLERS)}, CAST(event_id % 4 + 1 AS INTEGER)) END AS title FROM shows WHERE stop > start)"""
+_CLEAN = lambda c: f"lower(trim(regexp_replace(coalesce({c}, ''), '\\s+', ' ', 'g')))"
+_EMPTY = lambda c: f"({_CLEAN(c)} IN ('tba', 'to be announced') OR {' OR '.join(f'contains({_CLEAN(c)}, {chr(39)}{p}{chr(39)})' for p in cascade.FILLER_PARTS)})"
+_SUMMARY = f"""summary AS (SELECT stream, rank, bool_or(sure) AS trusted, count(*) AS n_rows, arg_min(title, (start, title)) FILTER (WHERE start <= {NOW} AND stop > {NOW}) AS active_title,
+  bool_and({_EMPTY("title")}) AS all_placeholder FROM ranked GROUP BY 1, 2)"""
+_PICK = f"""good AS (SELECT stream, rank, trusted, active_title, {_CLEAN("active_title")} AS t FROM summary WHERE active_title IS NOT NULL AND NOT {_EMPTY("active_title")}),
+  clash AS (SELECT DISTINCT stream FROM good x JOIN good y USING (stream) WHERE x.trusted AND y.trusted AND x.t <> y.t AND NOT (ends_with(x.t, 'garden hour') AND ends_with(y.t, 'garden hour'))),
+  one AS (SELECT stream, min(rank) AS r, arg_min(coalesce(active_title, '?none'), rank) AS act, arg_min(all_placeholder, rank) AS allp, min(rank) FILTER (WHERE NOT all_placeholder) AS real FROM summary GROUP BY 1),
+  g AS (SELECT stream, min(rank) AS good, min(rank) FILTER (WHERE trusted) AS sure FROM good GROUP BY 1),
+  step AS (SELECT one.*, good, sure, stream IN (SELECT stream FROM clash) AS conflict, CASE WHEN act = '?none' AND sure IS NOT NULL THEN 2 WHEN act <> '?none' AND {_EMPTY("act")} AND good IS NOT NULL THEN 3
+    WHEN stream NOT IN (SELECT stream FROM clash) AND allp AND real IS NOT NULL THEN 4 ELSE 1 END AS step FROM one LEFT JOIN g USING (stream)),
+  picked AS (SELECT stream, CASE step WHEN 2 THEN sure WHEN 3 THEN good WHEN 4 THEN real ELSE r END AS rank, step, conflict FROM step)"""
+
+
+@query(f"WITH {SHOWS}, {_RANKED}, {_SUMMARY} SELECT stream, rank, trusted, n_rows, active_title, all_placeholder FROM summary")
 def candidate_summary(spark, d):
     return cascade.candidate_summary(_ranked(spark, d), NOW)
 
 
-@query(f"WITH {SHOWS}, {_RANKED}, {_SUMMARY}, {_PICK} SELECT stream, rank, step FROM picked")
+@query(f"WITH {SHOWS}, {_RANKED}, {_SUMMARY}, {_PICK} SELECT stream, rank, step, conflict FROM picked")
 def cascade_pick(spark, d):
     return cascade.pick(cascade.candidate_summary(_ranked(spark, d), NOW))
 
 
 @query(f"""WITH {SHOWS}, {_RANKED}, {_SUMMARY}, {_PICK},
-  own AS (SELECT stream AS channel, start, stop, title, row_number() OVER (PARTITION BY stream, start ORDER BY stop, title) AS n FROM ranked JOIN picked USING (stream, rank)),
+  own AS (SELECT stream AS channel, start, stop, title, row_number() OVER (PARTITION BY stream, start ORDER BY stop, title) AS n FROM ranked JOIN picked USING (stream, rank)
+    WHERE NOT (conflict AND start <= {NOW} AND stop > {NOW})),
   p AS (SELECT *, max(stop) OVER (PARTITION BY channel ORDER BY start, stop, title ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM own WHERE n = 1),
   i AS (SELECT *, sum(CASE WHEN pm IS NULL OR start >= pm THEN 1 ELSE 0 END) OVER (PARTITION BY channel ORDER BY start, stop, title ROWS UNBOUNDED PRECEDING) AS island FROM p)
   SELECT channel, min(start) AS start, max(stop) AS stop, arg_min(title, (start, stop, title)) AS title, count(*) AS n_rows FROM i GROUP BY channel, island
-  HAVING count(DISTINCT lower(title)) = 1""")
+  HAVING count(DISTINCT {_CLEAN("title")}) = 1""")
 def merged_guide(spark, d):
     rows = _ranked(spark, d)
-    return cascade.merge(rows, cascade.pick(cascade.candidate_summary(rows, NOW)))
+    return cascade.merge(rows, cascade.pick(cascade.candidate_summary(rows, NOW)), NOW)
+
+
+# titles that hold a filler's letters but are none, and fillers in other spellings
+_PROBES = ("Live Football", "Into the Unknown", "To Be Announced: News Special", "tba", " TBA ", "Teleshopping", "No  match until six", "Unknown", "", "Programmes start at 6")
+
+
+@query(f"""SELECT title, n_rows, {_EMPTY("title")} AS filler FROM (SELECT title, count(*) AS n_rows FROM (SELECT title FROM programme
+  UNION ALL SELECT unnest({list(_PROBES)}) AS title) GROUP BY 1)""")
+def placeholder_titles(spark, d):
+    probes = spark.createDataFrame([(p,) for p in _PROBES], "title string")
+    titles = table(spark, d, "programme").select("title").unionByName(probes).groupBy("title").agg(F.count("*").alias("n_rows"))
+    return titles.withColumn("filler", cascade.placeholder("title"))
 
 
 @query()
@@ -173,16 +207,16 @@ def schedule_guide(spark, d):
 
 # --- names and joins ------------------------------------------------------------------------------
 N_STREAM, N_CHANNEL = tx.norm_ascii_sql("name"), tx.norm_ascii_sql("display_name")
-_NAMES = f"""s AS (SELECT DISTINCT CAST(CAST(trim(stream_id) AS DOUBLE) AS BIGINT) AS stream_id, {N_STREAM} AS norm_name FROM streams WHERE snapshot_no = 6),
-  c AS (SELECT DISTINCT source, id, {N_CHANNEL} AS norm_name FROM channel)"""
+_NAMES = f"""s AS (SELECT DISTINCT CAST(CAST(trim(stream_id) AS DOUBLE) AS BIGINT) AS stream_id, {N_STREAM} AS norm_name, lower(trim(name)) AS raw FROM streams WHERE snapshot_no = 6),
+  c AS (SELECT DISTINCT source, id, {N_CHANNEL} AS norm_name, lower(trim(display_name)) AS raw FROM channel)"""
 
 
 def _streams(spark, d):
-    return table(spark, d, "streams").filter("snapshot_no = 6").select(whole_number("stream_id").alias("stream_id"), tx.norm_ascii("name").alias("norm_name"))
+    return table(spark, d, "streams").filter("snapshot_no = 6").select(whole_number("stream_id").alias("stream_id"), tx.norm_ascii("name").alias("norm_name"), F.col("name").alias("raw_name"))
 
 
 def _channels(spark, d):
-    return table(spark, d, "channel").select("source", "id", tx.norm_ascii("display_name").alias("norm_name"))
+    return table(spark, d, "channel").select("source", "id", tx.norm_ascii("display_name").alias("norm_name"), F.col("display_name").alias("raw_name"))
 
 
 @query(f"SELECT DISTINCT display_name, {N_CHANNEL} AS norm_name FROM channel WHERE display_name IS NOT NULL")
@@ -201,8 +235,15 @@ def multimap_index(spark, d):
     return index.select("source", "norm_name", F.array_join("ids", "|").alias("ids"))
 
 
-@query(f"""WITH {_NAMES}, p AS (SELECT source, norm_name, min(id) AS lo, max(id) AS hi, count(DISTINCT id) AS n_ids FROM c WHERE norm_name <> '' GROUP BY 1, 2)
-  SELECT stream_id, source, CASE WHEN lo = hi THEN lo END AS source_id, n_ids FROM s JOIN p USING (norm_name)""")
+# a stream's one id per source: of several ids the one of its literal name
+_EXACT = """p AS (SELECT source, norm_name, count(DISTINCT id) AS n_ids FROM c WHERE norm_name <> '' GROUP BY 1, 2),
+  e1 AS (SELECT DISTINCT s.stream_id, c.source, s.raw AS sraw, c.id, c.raw, p.n_ids FROM s JOIN c USING (norm_name) JOIN p ON p.source = c.source AND p.norm_name = s.norm_name WHERE s.norm_name <> ''),
+  e2 AS (SELECT stream_id, source, sraw, any_value(n_ids) AS n_ids, CASE WHEN any_value(n_ids) = 1 THEN any_value(id) WHEN count(DISTINCT id) FILTER (WHERE raw = sraw) = 1 THEN any_value(id) FILTER (WHERE raw = sraw) END AS one
+    FROM e1 GROUP BY 1, 2, 3),
+  exact AS (SELECT stream_id, source, CASE WHEN count(DISTINCT one) = 1 THEN min(one) END AS source_id, max(n_ids) AS n_ids FROM e2 GROUP BY 1, 2)"""
+
+
+@query(f"WITH {_NAMES}, {_EXACT} SELECT stream_id, source, source_id, n_ids FROM exact")
 def exact_match(spark, d):
     return match.exact_match(_streams(spark, d), _channels(spark, d))
 
@@ -214,40 +255,40 @@ def ambiguous_reject(spark, d):
     return index.groupBy("source").agg(F.count("*").alias("n_names"), F.count(F.when(F.size("ids") > 1, 1)).alias("n_ambiguous"))
 
 
-@query(f"""WITH {_NAMES}, a AS (SELECT DISTINCT norm_name AS lname, list_sort(list_distinct(string_split(norm_name, ' '))) AS t1 FROM s WHERE norm_name <> ''),
-  b AS (SELECT DISTINCT source, norm_name AS rname, list_sort(list_distinct(string_split(norm_name, ' '))) AS t2 FROM c WHERE norm_name <> ''),
-  x AS (SELECT lname, unnest(t1) AS t, len(t1) AS n1 FROM a), y AS (SELECT source, rname, unnest(t2) AS t, len(t2) AS n2 FROM b),
-  m AS (SELECT lname, source, rname, n1, n2, count(*) AS c FROM x JOIN y USING (t) WHERE lname <> rname GROUP BY ALL HAVING count(*) >= 2),
-  q AS (SELECT lname, source, rname, round(2.0 * c / (n1 + n2), 6) AS score FROM m),
-  r AS (SELECT *, row_number() OVER (PARTITION BY lname, source ORDER BY score DESC, rname) AS rank FROM q WHERE score >= 0.85)
-  SELECT lname, source, rname, CAST(score AS DOUBLE) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 2""")
+# every two names that share a token, without any filter by rarity
+_DICE = """a AS (SELECT DISTINCT norm_name AS lname, list_distinct(string_split(norm_name, ' ')) AS t1 FROM s WHERE norm_name <> ''),
+  b AS (SELECT source, norm_name AS rname, list_distinct(string_split(norm_name, ' ')) AS t2 FROM c WHERE norm_name <> '' GROUP BY 1, 2 HAVING count(DISTINCT id) = 1),
+  x AS (SELECT lname, unnest(t1) AS t FROM a), y AS (SELECT source, rname, unnest(t2) AS t FROM b),
+  m AS (SELECT lname, source, rname, count(*) AS c FROM x JOIN y USING (t) WHERE lname <> rname GROUP BY ALL HAVING count(*) >= 2),
+  w AS (SELECT *, [z FOR z IN t1 IF z NOT IN ('plus', '1')] AS u1, [z FOR z IN t2 IF z NOT IN ('plus', '1')] AS u2 FROM m JOIN a USING (lname) JOIN b USING (source, rname)),
+  q AS (SELECT lname, source, rname, CAST(round(2.0 * c / (len(t1) + len(t2)), 6) AS DOUBLE) AS score FROM w
+    WHERE list_contains(t1, 'plus') = list_contains(t2, 'plus') AND (NOT list_contains(t1, 'plus') OR list_sort(u1) = list_sort(u2) OR len(list_intersect(u1, u2)) >= 2)),
+  f AS (SELECT lname, source, rname, score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY lname, source ORDER BY score DESC, rname) AS INTEGER) AS rank FROM q WHERE score >= 0.85) WHERE rank <= 2)"""
+
+
+@query(f"WITH {_NAMES}, {_DICE} SELECT lname, source, rname, score, rank FROM f")
 def fuzzy_dice(spark, d):
     left = _streams(spark, d).select(F.col("norm_name").alias("lname"))
-    return match.fuzzy_match(left, _channels(spark, d).select("source", F.col("norm_name").alias("rname")))
+    return match.fuzzy_match(left, _channels(spark, d).select("source", "id", F.col("norm_name").alias("rname")))
 
 
 def mapping_rows(spark, d):
-    """The mapping built from names: exact and fuzzy phases of whole tables, ranked."""
+    """The mapping built from names: exact and fuzzy phases of whole tables, ranked; a source whose exact name is ambiguous takes no fuzzy one."""
     s, c = _streams(spark, d), _channels(spark, d)
-    exact = match.exact_match(s, c).filter("source_id is not null").withColumn("confidence", F.lit(1.0))
-    fuzzy = match.fuzzy_match(s.select(F.col("norm_name").alias("lname")), c.select("source", F.col("norm_name").alias("rname")))
-    one = c.groupBy("source", F.col("norm_name").alias("rname")).agg(F.min("id").alias("source_id"), F.max("id").alias("hi")).filter("source_id = hi")
-    near = fuzzy.join(one, ["source", "rname"]).join(s.withColumnRenamed("norm_name", "lname").distinct(), "lname")
-    phases = {"exact": exact, "fuzzy": near.select("stream_id", "source", "source_id", F.col("score").alias("confidence"))}
+    found = match.exact_match(s, c)
+    exact = found.filter("source_id is not null").withColumn("confidence", F.lit(0.99))
+    fuzzy = match.fuzzy_match(s.select(F.col("norm_name").alias("lname")), c.select("source", "id", F.col("norm_name").alias("rname")))
+    one = c.groupBy("source", F.col("norm_name").alias("rname")).agg(F.min("id").alias("source_id"))
+    near = fuzzy.join(one, ["source", "rname"]).join(s.select("stream_id", F.col("norm_name").alias("lname")).distinct(), "lname")
+    near = near.join(found.filter("n_ids > 1").select("stream_id", "source"), ["stream_id", "source"], "left_anti")
+    phases = {"exact": exact, "fuzzy": near.select("stream_id", "source", "source_id", F.round("score", 2).alias("confidence"))}
     return match.combine(phases, table(spark, d, "sources"))
 
 
-_FUZZY = """a AS (SELECT DISTINCT norm_name AS lname, list_sort(list_distinct(string_split(norm_name, ' '))) AS t1 FROM s WHERE norm_name <> ''),
-  b AS (SELECT DISTINCT source, norm_name AS rname, list_sort(list_distinct(string_split(norm_name, ' '))) AS t2 FROM c WHERE norm_name <> ''),
-  x AS (SELECT lname, unnest(t1) AS t, len(t1) AS n1 FROM a), y AS (SELECT source, rname, unnest(t2) AS t, len(t2) AS n2 FROM b),
-  m AS (SELECT lname, source, rname, n1, n2, count(*) AS c FROM x JOIN y USING (t) WHERE lname <> rname GROUP BY ALL HAVING count(*) >= 2),
-  q AS (SELECT lname, source, rname, CAST(round(2.0 * c / (n1 + n2), 6) AS DOUBLE) AS score FROM m),
-  f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lname, source ORDER BY score DESC, rname) AS rn FROM q WHERE score >= 0.85) WHERE rn <= 2)"""
-
-
-@query(f"""WITH {_NAMES}, {_FUZZY}, p AS (SELECT source, norm_name, min(id) AS lo, max(id) AS hi FROM c WHERE norm_name <> '' GROUP BY 1, 2),
-  e AS (SELECT stream_id, source, lo AS source_id, CAST(1 AS DOUBLE) AS confidence, 0 AS phase, 'exact' AS match_method FROM s JOIN p USING (norm_name) WHERE lo = hi
-    UNION ALL SELECT s.stream_id, f.source, p.lo, f.score, 1, 'fuzzy' FROM f JOIN p ON p.source = f.source AND p.norm_name = f.rname AND p.lo = p.hi JOIN s ON s.norm_name = f.lname),
+@query(f"""WITH {_NAMES}, {_EXACT}, {_DICE}, i AS (SELECT source, norm_name, min(id) AS id FROM c GROUP BY 1, 2),
+  e AS (SELECT stream_id, source, source_id, CAST(0.99 AS DOUBLE) AS confidence, 0 AS phase, 'exact' AS match_method FROM exact WHERE source_id IS NOT NULL
+    UNION ALL SELECT s.stream_id, f.source, i.id, round(f.score, 2), 1, 'fuzzy' FROM f JOIN i ON i.source = f.source AND i.norm_name = f.rname JOIN (SELECT DISTINCT stream_id, norm_name FROM s) s ON s.norm_name = f.lname
+    WHERE NOT EXISTS (SELECT 1 FROM exact x WHERE x.n_ids > 1 AND x.stream_id = s.stream_id AND x.source = f.source)),
   o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY stream_id, source, source_id ORDER BY phase, confidence DESC) AS n FROM e) WHERE n = 1)
   SELECT stream_id, source, source_id, confidence, match_method, CAST(row_number() OVER (PARTITION BY stream_id ORDER BY trust NULLS LAST, confidence DESC, source, source_id) AS INTEGER) AS rank
   FROM o LEFT JOIN (SELECT source, trust FROM sources) USING (source)""")
@@ -255,11 +296,11 @@ def mapping_build(spark, d):
     return mapping_rows(spark, d)
 
 
-@query("""WITH f AS (SELECT prog_id, source, channel FROM programme WHERE channel IS NOT NULL) SELECT prog_id, source, channel FROM f
-  WHERE NOT EXISTS (SELECT 1 FROM channel c WHERE c.source = f.source AND c.id = f.channel)""")
+@query("""WITH f AS (SELECT map_id, c.source AS source, c.source_id AS id FROM (SELECT map_id, unnest(candidates) AS c FROM mapping))
+  SELECT map_id, source, id FROM f WHERE NOT EXISTS (SELECT 1 FROM channel c WHERE c.source = f.source AND c.id = f.id)""")
 def missing_references(spark, d):
-    rows = table(spark, d, "programme").filter("channel is not null").select("prog_id", "source", "channel")
-    return match.missing_references(rows, ["source", "channel"], table(spark, d, "channel").select("source", F.col("id").alias("channel"))).select("prog_id", "source", "channel")
+    rows = match.exploded(table(spark, d, "mapping")).select("map_id", "source", F.col("source_id").alias("id"))
+    return match.missing_references(rows, ["source", "id"], table(spark, d, "channel")).select("map_id", "source", "id")
 
 
 _CAND = "cand AS (SELECT map_id, country, unnest(candidates) AS c, generate_subscripts(candidates, 1) AS pos FROM mapping)"
@@ -287,9 +328,13 @@ def deny_antijoin(spark, d):
     return match.deny(rows, denied).select("map_id", "source", "source_id")
 
 
-@query("""WITH s AS (SELECT DISTINCT CAST(CAST(trim(stream_id) AS DOUBLE) AS BIGINT) AS stream_id, lower(trim(coalesce(epg_channel_id, ''))) AS epg FROM streams WHERE snapshot_no = 6),
-  r AS (SELECT stream_id, CASE WHEN regexp_matches(epg, '^[^ ]+\\.[a-z]{2}$') THEN epg END AS epg FROM s), n AS (SELECT epg, count(*) AS n FROM r WHERE epg IS NOT NULL GROUP BY 1)
-  SELECT stream_id, CASE WHEN n = 1 THEN epg ELSE concat('xtream:', stream_id) END AS canonical_id FROM r LEFT JOIN n USING (epg)""")
+_JUNK = "regexp_matches(epg, '(?i)(\\.(epg|L|UFC|BRLIVE|ESPN|MLB|NFL|NBA|NHL|PPV|EVENT)$|servicestatus|event3hour)')"
+_SPLIT = f"""s6 AS (SELECT DISTINCT CAST(CAST(trim(stream_id) AS DOUBLE) AS BIGINT) AS stream_id, trim(epg_channel_id) AS epg FROM streams WHERE snapshot_no = 6),
+  r6 AS (SELECT DISTINCT stream_id, CASE WHEN epg <> '' AND NOT {_JUNK} THEN epg END AS epg FROM s6), n6 AS (SELECT epg, count(*) AS n FROM r6 WHERE epg IS NOT NULL GROUP BY 1),
+  split AS (SELECT stream_id, CASE WHEN n = 1 THEN epg ELSE concat('xtream:', stream_id) END AS canonical_id FROM r6 LEFT JOIN n6 USING (epg))"""
+
+
+@query(f"WITH {_SPLIT} SELECT stream_id, canonical_id FROM split")
 def collision_split(spark, d):
     s = table(spark, d, "streams").filter("snapshot_no = 6").select(whole_number("stream_id").alias("stream_id"), "epg_channel_id")
     return match.collision_split(s)
@@ -420,12 +465,17 @@ def double_unescape(spark, d):
     return table(spark, d, "programme").filter("title is not null").select("prog_id", tx.unescape_twice(F.col("title")).alias("title"))
 
 
-@query()
+@query("""SELECT prog_id, lower(trim(regexp_replace(coalesce(title, ''), '[\\s\\x0b\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+', ' ', 'g'))) AS title FROM programme""")
 def clean_titles(spark, d):
     return table(spark, d, "programme").select("prog_id", tx.clean_title("title").alias("title"))
 
 
-@query()
+_LATIN = "lower(display_name)"
+for _a, _b in (tx.CYRILLIC | tx.GREEK).items():
+    _LATIN = f"replace({_LATIN}, '{_a}', '{_b}')"
+
+
+@query(f"SELECT DISTINCT display_name, {_LATIN} AS latin FROM channel")
 def transliterated_names(spark, d):
     return table(spark, d, "channel").select("display_name").distinct().withColumn("latin", tx.transliterate("display_name"))
 

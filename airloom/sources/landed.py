@@ -12,10 +12,13 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airloom.operators.schedule import failure_runs
+from airloom.operators.sequence import running
+
 STREAMS = "stream_id string, name string, category_id string, stream_icon string, epg_channel_id string"
 CATEGORIES = "category_id string, category_name string"
 CANDIDATE = "struct<source:string,source_id:string,method:string,confidence:double>"
@@ -62,7 +65,7 @@ def fault_of(content: bytes | None) -> str | None:
     start = head[:512].lstrip().lower()
     if start.startswith((b"<!doctype html", b"<html")):
         return "html page"
-    return None if b"<tv" in head and b"<channel" in head else "no guide"
+    return None if b"<tv" in head or b"<channel" in head else "no guide"
 
 
 def check_downloads(files: DataFrame) -> DataFrame:
@@ -115,10 +118,12 @@ def decode_seed(c, most_bytes: int = 2 << 20):
 
 
 def breaker(attempts: DataFrame, host: str, order: list[str], ok: str, limit: int = 3) -> DataFrame:
-    """Attempts with ``skipped``: true for those of a host after ``limit`` failures in a row."""
-    w = Window.partitionBy(host).orderBy(*order)
-    part = F.sum(F.when(F.col(ok), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    run = F.sum(F.when(F.col(ok), 0).otherwise(1)).over(Window.partitionBy(host, "__p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    marked = attempts.withColumn("__p", part).withColumn("__r", run)
-    opened = F.coalesce(F.max("__r").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) >= limit
-    return marked.withColumn("skipped", opened).drop("__p", "__r")
+    """Attempts with ``skipped``: true for those of a host after ``limit`` failures in a row.
+
+    order: columns, the first one numeric; an attempt without outcome counts as failed.
+    """
+    at, rest = order[0], order[1:]
+    runs = failure_runs(attempts, host, order, ~F.coalesce(ok, F.lit(False)))
+    hit = F.when(F.col("run_length") >= limit, 1).otherwise(0)
+    opened = running(runs.withColumn("__hit", hit), [host], at, rest, {"__opened": ("sum", F.col("__hit"))})
+    return opened.withColumn("skipped", F.col("__opened") > F.col("__hit")).drop("run_length", "__hit", "__opened")
