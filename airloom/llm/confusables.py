@@ -110,9 +110,3 @@ def forms(texts: DataFrame, column: str) -> DataFrame:
     each = each.withColumn("form", skeleton("text"))
     per = each.groupBy("form").agg(F.count("*").alias("n_spellings"))
     return each.join(per, "form").select("text", "form", "n_rows", "n_spellings")
-
-
-def id_number(c: Column | str) -> Column:
-    """The whole number an id stands for."""
-    text = F.regexp_replace(c, r"\s", "")
-    return F.when(text.rlike(r"^[0-9]{1,18}(\.0*)?$"), F.regexp_extract(text, r"^[0-9]+", 0).cast("long"))

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airloom.llm.confusables import forms, id_number, look_alike_pairs
+from airloom.llm.confusables import forms, look_alike_pairs
 from airloom.llm.leakage import leaks
 from airloom.llm.linkage import Parser, link, parsed, subject_words
 from airloom.llm.mojibake import garbled
 from airloom.llm.packing import fill_report, packed_documents
 from airloom.llm.sentences import sentences
-from airloom.llm.survivor import present, survivors
+from airloom.llm.survivor import STAND_INS, present, survivors
+from airloom.plans.problems import whole_number
 from airloom.session import cut, spread, table, tune
 
 
@@ -28,7 +29,7 @@ def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _p3_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(streams with their station, links of stations and channels with confidence)."""
-    s = table(spark, sf_dir, "streams").filter("snapshot_no = 6").select(id_number("stream_id").alias("stream_id"), "name", "cat_name")
+    s = table(spark, sf_dir, "streams").filter("snapshot_no = 6").select(whole_number("stream_id").alias("stream_id"), "name", "cat_name")
     c = table(spark, sf_dir, "channel").select("source", F.col("id").alias("record"), "display_name").distinct()
     sources = table(spark, sf_dir, "sources").select("source", "countries")
     # two-letter codes, so at most 676
@@ -65,10 +66,10 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_confidence(spark, sf_dir).filter("confidence >= 0.5").select("stream_id", "source", "channel_id")
 
 
-def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _survivors(spark: SparkSession, sf_dir: str, at) -> DataFrame:
     tune(spark)
-    m = table(spark, sf_dir, "mapping")
-    number = id_number("stream_id")
+    m = table(spark, sf_dir, "mapping").withColumn("built_at", at)
+    number = whole_number("stream_id")
     links = [F.coalesce(number.cast("string"), present("stream_id")), present("canonical_id")]
     return survivors(
         m, table(spark, sf_dir, "sources"), row_id="map_id", links=links, fields=["canonical_id", "country"],
@@ -76,9 +77,55 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _survivors(spark, sf_dir, F.col("built_at"))
+
+
+def p6_untimed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The survivors where five of sixteen rows (by a digest of their id) have lost their timestamp: there the learned order decides."""
+    return _survivors(spark, sf_dir, F.when(F.md5(F.col("map_id").cast("string").cast("binary")) >= "5", F.col("built_at")))
+
+
+_STAND_INS = ", ".join(f"'{x}'" for x in STAND_INS)
+_PRESENT = lambda c: f"(CASE WHEN lower(regexp_replace({c}, '[\\s\\x{{a0}}\\x{{200b}}]+', '', 'g')) NOT IN ({_STAND_INS}) THEN lower(regexp_replace({c}, '[\\s\\x{{a0}}\\x{{200b}}]+', '', 'g')) END)"
+
+
+def _latest_sql(field: str) -> str:
+    """CTEs that end in latest_<field>: group_id, map_id."""
+    f = field
+    return f"""
+  h_{f} AS (SELECT g, map_id, built, {f} AS v FROM member WHERE {f} IS NOT NULL),
+  z_{f} AS (SELECT g, v, max(built) AS z FROM h_{f} WHERE built IS NOT NULL GROUP BY 1, 2),
+  t_{f} AS (SELECT v AS a, lead(v) OVER (PARTITION BY g ORDER BY z, v) AS b FROM z_{f}),
+  n_{f} AS (SELECT a, b, count(*) AS n FROM t_{f} WHERE b IS NOT NULL GROUP BY 1, 2),
+  r_{f} AS (SELECT a, b FROM n_{f} x WHERE n > coalesce((SELECT n FROM n_{f} y WHERE y.a = x.b AND y.b = x.a), 0)),
+  p_{f} AS (SELECT a, b FROM r_{f} UNION SELECT p.a, r.b FROM p_{f} p JOIN r_{f} r ON p.b = r.a),
+  o_{f} AS (SELECT a, b FROM p_{f} x WHERE a <> b AND NOT EXISTS (SELECT 1 FROM p_{f} y WHERE y.a = x.b AND y.b = x.a)),
+  top_{f} AS (SELECT g, arg_max(map_id, (built, map_id)) AS map_id, arg_max(v, (built, map_id)) AS v FROM h_{f} WHERE built IS NOT NULL GROUP BY 1),
+  u_{f} AS (SELECT h.g, h.v, max(h.map_id) AS u FROM h_{f} h LEFT JOIN top_{f} t ON t.g = h.g WHERE h.built IS NULL AND (t.v IS NULL OR EXISTS (SELECT 1 FROM o_{f} o WHERE o.a = t.v AND o.b = h.v)) GROUP BY 1, 2),
+  l_{f} AS (SELECT g, max(u) AS u FROM u_{f} x WHERE NOT EXISTS (SELECT 1 FROM u_{f} y JOIN o_{f} o ON o.a = x.v AND o.b = y.v WHERE y.g = x.g) GROUP BY 1),
+  latest_{f} AS (SELECT g AS group_id, coalesce(l.u, t.map_id) AS map_id FROM top_{f} t FULL JOIN l_{f} l USING (g))"""
+
+
+def _survivor_sql(at: str) -> str:
+    return f"""WITH RECURSIVE m AS (SELECT map_id, {at} AS built, candidates, {_PRESENT("country")} AS country, {_PRESENT("canonical_id")} AS canonical_id,
+    coalesce(CAST(TRY_CAST(TRY_CAST(trim(stream_id) AS DOUBLE) AS BIGINT) AS VARCHAR), {_PRESENT("stream_id")}) AS sid FROM mapping),
+  k AS (SELECT map_id, concat('s', sid) AS k FROM m WHERE sid IS NOT NULL UNION ALL SELECT map_id, concat('c', canonical_id) FROM m WHERE canonical_id IS NOT NULL),
+  e AS (SELECT DISTINCT x.map_id AS a, y.map_id AS b FROM k x JOIN k y USING (k)),
+  reach AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a),
+  grp AS (SELECT a AS map_id, min(b) AS g FROM reach GROUP BY 1 HAVING count(*) > 1),
+  member AS (SELECT g, m.* FROM m JOIN grp USING (map_id)), {_latest_sql("canonical_id")}, {_latest_sql("country")},
+  c AS (SELECT g, map_id, built, c.source AS source, c.source_id AS source_id, coalesce(c.confidence, '-inf'::DOUBLE) AS confidence FROM (SELECT g, map_id, built, unnest(candidates) AS c FROM member) WHERE {_PRESENT("c.source_id")} IS NOT NULL),
+  w AS (SELECT g, map_id, built, count(DISTINCT (source, source_id)) AS n FROM c GROUP BY 1, 2, 3),
+  widest AS (SELECT g, map_id FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY n DESC, built DESC NULLS LAST, map_id DESC) AS x FROM w) WHERE x = 1),
+  best AS (SELECT g, map_id FROM (SELECT c.*, row_number() OVER (PARTITION BY g ORDER BY coalesce(trust, 1099511627776), confidence DESC, built DESC NULLS LAST, map_id DESC) AS x FROM c LEFT JOIN sources USING (source)) WHERE x = 1)
+  SELECT group_id, 'canonical_id' AS field_name, map_id FROM latest_canonical_id UNION ALL SELECT group_id, 'country', map_id FROM latest_country
+  UNION ALL SELECT g, 'candidates', map_id FROM widest UNION ALL SELECT g, 'source_id', map_id FROM best"""
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
-    s = table(spark, sf_dir, "streams").filter("snapshot_no = 6").select(id_number("stream_id").alias("stream_id"), "name")
+    s = table(spark, sf_dir, "streams").filter("snapshot_no = 6").select(whole_number("stream_id").alias("stream_id"), "name")
     c = table(spark, sf_dir, "channel").select(F.col("id").alias("channel_id"), "display_name")
     pairs = look_alike_pairs(s, c, "name", "display_name")
     return pairs.filter("stream_id is not null and channel_id is not null").select("stream_id", "channel_id").distinct()
@@ -122,10 +169,12 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries():
     return {
         "p1_found": p1_found, "p1_restored": p1_restored, "p3_found": p3_found, "p3_confidence": p3_confidence,
-        "p6_found": p6_found, "p7_found": p7_found, "p7_forms": p7_forms,
+        "p6_found": p6_found, "p6_untimed": p6_untimed, "p7_found": p7_found, "p7_forms": p7_forms,
         "p8_packed": p8_packed, "p8_fill": p8_fill, "p9_found": p9_found, "p9_passages": p9_passages, "p10_found": p10_found,
     }
 
 
 def oracle_sql():
-    return {}
+    return {
+        "p6_found": _survivor_sql("built_at"), "p6_untimed": _survivor_sql("CASE WHEN md5(CAST(map_id AS VARCHAR)) >= '5' THEN built_at END"),
+    }

@@ -2,21 +2,25 @@
 
 Groups are the connected components of rows that share a link value.  Recency
 decides by timestamp; where timestamps are missing, a learned currency order of
-values does: from timestamped rows the operator counts value transitions
-(a value's last sighting before the next value's first one, within a group),
-keeps the direction that prevails, and levels the precedence graph by
-relaxation.  In a group, a row without timestamp beats the latest timestamped
-row only if its value lies on a higher level.
+values does: from timestamped rows the operator counts transitions (a value last
+seen before the next one of its group), keeps for each two values the direction
+that prevails, and closes these precedences transitively (values on a cycle
+precede each other and so don't count).  Each group then has a partial order of
+its own: the precedences among its values, and its own times.  A value without
+timestamp survives only if it lies topologically after the latest timestamped
+value; of several such values one that no other follows is taken.  Values
+without a precedence between them are never ranked against each other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airloom.llm.components import components
+from airloom.operators.sequence import WEEK, neighbour
 from airloom.session import cut
 
 # Stand-ins for an unknown value, in lower case without blanks.
@@ -65,36 +69,76 @@ def duplicate_groups(rows: DataFrame, row_id: str, links: Sequence[Column]) -> D
     return home.join(size, "root").select(F.col("r").alias(row_id), "group_id")
 
 
-def currency_levels(rows: DataFrame, group: str, value: str, at: str, rounds: int = 4) -> DataFrame:
-    """Level of each value in the learned order: columns v, level (0 for values without predecessors).
+def precedence(rows: DataFrame, group: str, value: str, at: str) -> DataFrame:
+    """Learned direct precedences: columns a, b (a comes before b).
 
-    rounds: longest chain of precedence that is followed; a bound also against cycles.
+    A value is known by its last time in a group; the next value of the group is
+    one transition.  Of two values the direction with more transitions prevails, a
+    tie says nothing.  Groups of any size are walked in buckets of time.
     """
-    seen = rows.filter(F.col(value).isNotNull() & F.col(at).isNotNull()).groupBy(group, F.col(value).alias("v")).agg(F.max(at).alias("z"))
-    step = Window.partitionBy(group).orderBy("z", "v")
-    moves = seen.select(F.lag("v").over(step).alias("a"), F.col("v").alias("b")).filter("a is not null")
-    moves = moves.groupBy("a", "b").agg(F.count("*").alias("n"))
-    both = moves.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), F.when(F.col("a") < F.col("b"), F.col("n")).otherwise(-F.col("n")).alias("n"))
-    net = both.groupBy("x", "y").agg(F.sum("n").alias("n")).filter("n <> 0")
-    rule = cut(net.select(F.when(F.col("n") > 0, F.col("x")).otherwise(F.col("y")).alias("a"), F.when(F.col("n") > 0, F.col("y")).otherwise(F.col("x")).alias("b")), "rules")
-    level = rule.select(F.explode(F.array("a", "b")).alias("v")).distinct().withColumn("level", F.lit(0))
-    for _ in range(rounds):
-        up = rule.join(level.withColumnRenamed("v", "a"), "a").groupBy(F.col("b").alias("v")).agg((F.max("level") + 1).alias("up"))
-        level = level.join(up, "v", "left").select("v", F.greatest("level", F.coalesce("up", F.lit(0))).alias("level"))
-    return level
+    seen = rows.filter(F.col(value).isNotNull() & F.col(at).isNotNull()).groupBy(group, F.col(value).alias("a")).agg(F.max(at).alias("z"))
+    # whole seconds make the buckets, the value itself settles ties
+    seen = seen.withColumn("s", F.unix_seconds(F.col("z").cast("timestamp")) if _is_time(rows, at) else F.col("z").cast("long"))
+    moves = neighbour(seen, [group], "s", ["z", "a"], F.col("a"), "b", bucket=4 * WEEK).filter("b is not null").groupBy("a", "b").agg(F.count("*").alias("n"))
+    up = F.col("a") < F.col("b")
+    both = moves.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.sum(F.when(up, F.col("n")).otherwise(-F.col("n"))).alias("n"))
+    ahead = F.col("n") > 0
+    return both.filter("n <> 0").select(F.when(ahead, F.col("x")).otherwise(F.col("y")).alias("a"), F.when(ahead, F.col("y")).otherwise(F.col("x")).alias("b"))
+
+
+def _is_time(rows: DataFrame, at: str) -> bool:
+    return rows.schema[at].dataType.typeName().startswith(("timestamp", "date"))
+
+
+def closure(rules: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """All pairs (a, b) with a path from a to b and none back.
+
+    Paths double in length each round, so a chain of n values takes log2(n)
+    rounds; raises if ``max_rounds`` don't suffice, which no table can reach.
+    """
+    paths = cut(rules.select("a", "b").distinct(), "paths")
+    n = paths.count()
+    for _ in range(max_rounds):
+        longer = paths.join(paths.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").select("a", F.col("c").alias("b"))
+        paths = cut(paths.union(longer).distinct(), "paths")
+        if (now := paths.count()) == n:
+            break
+        n = now
+    else:
+        raise RuntimeError("closure: no fixed point")
+    back = paths.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    return paths.filter("a <> b").join(back, ["a", "b"], "left_anti")
 
 
 def latest_with_value(rows: DataFrame, group: str, value: str, at: str, row_id: str) -> DataFrame:
-    """Per group the row whose value is the most current: columns group, row_id."""
-    level = currency_levels(rows, group, value, at).withColumnRenamed("v", "__leveled")
-    have = rows.filter(F.col(value).isNotNull()).join(level, F.col(value) == F.col("__leveled"), "left")
-    lv, timed = F.coalesce("level", F.lit(0)), F.col(at).isNotNull()
-    best = have.groupBy(group).agg(
-        F.max(F.when(timed, F.struct(F.col(at), F.col(row_id).alias("r"), lv.alias("lv")))).alias("t"),
-        F.max(F.when(~timed, F.struct(lv.alias("lv"), F.col(row_id).alias("r")))).alias("u"),
+    """Per group the row whose value is the most current: columns group, row_id.
+
+    Of timed rows the latest (then the greatest id).  A value that only rows
+    without time hold replaces it if the closed precedences put it after the latest
+    timed value; where no row of a group is timed, all its values are candidates.
+    Of the candidates one that precedes no other is taken, then the greatest id.
+    Groups without a value have no row.
+    """
+    timed = F.col(at).isNotNull()
+    have = rows.filter(F.col(value).isNotNull())
+    each = have.groupBy(group, F.col(value).alias("v")).agg(
+        F.max(F.when(timed, F.struct(F.col(at).alias("at"), F.col(row_id).alias("r")))).alias("t"), F.max(F.when(~timed, F.col(row_id))).alias("u")
     )
-    pick = F.when(F.col("t").isNull() | (F.col("u.lv") > F.col("t.lv")), F.col("u.r")).otherwise(F.col("t.r"))
-    return best.select(group, pick.alias(row_id))
+    each = cut(each, "values")
+    top = each.groupBy(group).agg(F.max(F.when(F.col("t").isNotNull(), F.struct("t.at", "t.r", "v"))).alias("top"), F.count("u").alias("n_open"))
+    if each.filter("u is not null").isEmpty():
+        return top.select(group, F.col("top.r").alias(row_id))
+    paths = cut(closure(precedence(have, group, value, at)), "order")
+    top = cut(top, "tops")
+    # candidates of groups with rows without time
+    open_ = each.filter("u is not null").join(top.filter("n_open > 0"), group).select(group, "v", "u", F.col("top.v").alias("tv"))
+    after = open_.filter("tv is not null").join(paths.select(F.col("a").alias("tv"), F.col("b").alias("v")), ["tv", "v"]).select(group, "v", "u")
+    chosen = cut(after.union(open_.filter("tv is null").select(group, "v", "u")), "candidates")
+    # values that another candidate of the group follows; only pairs with a precedence are looked at
+    followed = chosen.select(group, "v").join(paths.select(F.col("a").alias("v"), "b"), "v").select(group, "v", "b")
+    followed = followed.join(chosen.select(group, F.col("v").alias("b")), [group, "b"], "left_semi").select(group, "v").distinct()
+    last = chosen.join(followed, [group, "v"], "left_anti").groupBy(group).agg(F.max("u").alias("u"))
+    return top.join(last, group, "left").select(group, F.coalesce("u", "top.r").alias(row_id))
 
 
 def survivors(
@@ -102,7 +146,7 @@ def survivors(
 ) -> DataFrame:
     """Per group and field the surviving row: columns group_id, field_name, row_id.
 
-    fields: latest value.  ``candidates``: the row with most distinct (source,
+    fields: latest value by time or, without times, by learned precedence.  ``candidates``: the row with most distinct (source,
     source_id), then the latest; field ``source_id``: the row with the candidate of
     the most trusted source, then the highest confidence, then the latest.  trust:
     source, trust (1 is best); an unlisted source comes last.  Rows without links,

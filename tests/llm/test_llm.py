@@ -157,6 +157,66 @@ def test_currency_without_timestamps(spark):
     assert (got["u"], got["t"], got["v"], got["g3"]) == (100, 103, 104, 7)
 
 
+def _latest(spark, rows):
+    df = spark.createDataFrame(rows, "id long, g string, v string, at int")
+    return {r.g: r.id for r in survivor.latest_with_value(df, "g", "v", "at", "id").collect()}
+
+
+def test_long_chains_and_unrelated_values(spark):
+    """Precedence is followed over any number of values; values without one are not ranked by anything global."""
+    chain = [(10 * i + k, f"c{i}", f"v{i + k}", i * 10 + k) for i in range(20) for k in (0, 1)]
+    other = [(900, "x", "x1", 1), (901, "x", "x2", 2), (902, "x", "x3", 3), (903, "y", "y1", 1), (904, "y", "y2", 2)]
+    ask = [
+        (1000, "far", "v19", None), (1001, "far", "v5", None), (1002, "near", "v6", 5), (1003, "near", "v7", None),
+        (1010, "apart", "y2", 9), (1011, "apart", "x3", None), (1020, "back", "v9", 9), (1021, "back", "v2", None), (1030, "one", "v0", None), (1040, "none", None, 4),
+    ]
+    got = _latest(spark, chain + other + ask)
+    assert (got["far"], got["near"], got["apart"], got["back"], got["one"]) == (1000, 1003, 1010, 1020, 1030) and "none" not in got
+
+
+def test_cycles_say_nothing(spark):
+    rows = [(i * 10 + k, f"g{i}", "abc"[(i + k) % 3], i * 10 + k) for i in range(3) for k in (0, 1)] + [(100, "q", "a", 5), (101, "q", "b", None)]
+    assert _latest(spark, rows)["q"] == 100
+
+
+def brute_latest(rows):
+    """Groups by plain walks: precedence counts, reachability, latest by the same rules."""
+    by, count = defaultdict(list), defaultdict(int)
+    for i, g, v, at in rows:
+        if v is not None:
+            by[g].append((i, v, at))
+    for own in by.values():
+        last = {}
+        for _, v, at in own:
+            if at is not None:
+                last[v] = max(at, last.get(v, at))
+        line = sorted(last, key=lambda v: (last[v], v))
+        for a, b in zip(line, line[1:]):
+            count[a, b] += 1
+    edges = {p for p, n in count.items() if n > count.get((p[1], p[0]), 0)}
+    reach = set(edges)
+    while more := {(a, d) for a, b in reach for c, d in edges if b == c} - reach:
+        reach |= more
+    order = {(a, b) for a, b in reach if (b, a) not in reach}
+    out = {}
+    for g, own in by.items():
+        timed = [(at, i, v) for i, v, at in own if at is not None]
+        top = max(timed) if timed else None
+        open_ = {v: max(i for i, w, at in own if w == v and at is None) for i, v, at in own if at is None}
+        if top:
+            open_ = {v: i for v, i in open_.items() if (top[2], v) in order}
+        final = [i for v, i in open_.items() if not any((v, w) in order for w in open_)]
+        out[g] = max(final) if final else top[1]
+    return out
+
+
+def test_currency_against_brute_force(spark):
+    rng = random.Random(11)
+    for _ in range(3):
+        rows = [(i, f"g{rng.randrange(25)}", rng.choice([None, *"abcdefgh"]), rng.choice([None, rng.randrange(10**6)])) for i in range(160)]
+        assert _latest(spark, rows) == brute_latest(rows)
+
+
 # --- 7: look-alikes ---------------------------------------------------------------------------
 def test_skeletons(spark):
     same = ["Nexusta Docu 2", "Νеxuѕtа Docu 2", "Ｎｅｘｕｓｔａ　Ｄｏｃｕ　２", "Ne​xusta Docu 2­", "Nexusta Docu 2﻿"]
