@@ -4,8 +4,8 @@ A text is read as lexemes (words, blanks, stops, quotes).  Boundary rules are a
 deterministic transducer over lexeme classes: its table is compiled once, its
 states say whether a stop is pending and what followed it.  A long document is
 processed as chunks: every chunk yields its state-transition function (start
-state -> end state), the functions are composed by a prefix scan over the
-document, and then each chunk emits its boundaries from its true start state,
+state -> end state), the functions are composed by a parallel prefix scan (up
+over blocks of chunks, across, down again), and then each chunk emits its boundaries from its true start state,
 independently of the others.  Short documents are a single chunk.
 
 Fixed lists of abbreviations are per language; ``auto`` class decisions (digits
@@ -19,9 +19,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airloom.operators.sequence import running
 from airloom.session import cut
 
 CHUNK = 20_000
@@ -136,6 +137,7 @@ class Transducer:
             row[t.PLAIN] = row[t.LOWER]
             row[t.LEADLOW] = (t.LEAD, 0) if i in (t.LEAD, t.START) else row[t.LOWER]
         self.table = table
+        self.columns = [[row[k][0] for row in table] for k in range(t.CLASSES)]
 
     def classes(self, text: str, lang: str) -> list[tuple[int, int, int]]:
         """(class, from, to) of every lexeme; context is at most one lexeme on either side."""
@@ -242,10 +244,15 @@ class Transducer:
 
     def function(self, lexemes: list) -> list[int]:
         """End state for each start state; equal states merge, so most chunks need one pass."""
-        now = list(range(self.N))
-        for k, _, _ in lexemes:
-            column = [row[k][0] for row in self.table]
+        columns, now = self.columns, list(range(self.N))
+        for i, (k, _, _) in enumerate(lexemes):
+            column = columns[k]
             now = [column[s] for s in now]
+            if i % 8 == 7 and min(now) == max(now):
+                state = now[0]
+                for k, _, _ in lexemes[i + 1 :]:
+                    state = columns[k][state]
+                return [state] * self.N
         return now
 
 
@@ -286,13 +293,26 @@ def sentences_of(text: str, lang: str | None = None) -> list[tuple[int, int]]:
     return spans
 
 
+_SAFE_CUTS = regex.compile(
+    # before a blank between two ordinary words, and before an empty line
+    r"(?<=[\p{L}--\p{Thai}])(?= [\p{L}--\p{Thai}])|(?<=\S)(?=[^\S\n]*\n[^\S\n]*\n)"
+    # after a full stop of CJK, and amid a run of CJK or Thai letters that doesn't belong to another word
+    rf"|(?<=[。！？])(?=[{_CJK}])|(?<=(?:\A|[^\p{{L}}\p{{M}}\p{{N}}'’&\-.,:])[{_CJK}]{{1,2000}})(?=[{_CJK}])"
+    r"|(?<=(?:\A|[^\p{L}\p{M}\p{N}'’&\-.,:])\p{Thai}{1,2000})(?=\p{Thai})",
+    regex.V1,
+)
+
+
 def _cuts(text: str, size: int) -> list[int]:
-    """Chunk starts: at the beginning of a run of blanks that follows an ordinary word, else at a CJK stop's end."""
+    """Chunk starts, each at a place where lexemes and their context are the same on either side as in the whole text.
+
+    A run of such lexemes leads to the same state as one of them.  A stretch that
+    has no such place (one word, or figures and marks without an empty line) stays whole.
+    """
     starts, at = [0], 0
-    pattern = regex.compile(r"(?<=[\p{L}--\p{Thai}])(?= [\p{L}--\p{Thai}])|(?<=[。！？])(?=[\p{Han}\p{Hiragana}\p{Katakana}])", regex.V1)
     while len(text) - at > size:
-        m = pattern.search(text, at + size)
-        if not m or m.start() <= at:
+        m = _SAFE_CUTS.search(text, at + size)
+        if not m or m.start() <= at or m.start() == len(text):
             break
         at = m.start()
         starts.append(at)
@@ -358,13 +378,40 @@ def _begins(m: Transducer, lexemes: list, state: int) -> bool:
     return True
 
 
+def _states(items: Column, state: Column) -> Column:
+    """Start state of each item (struct with f) when the first one starts in ``state``."""
+    zero = F.struct(state.cast("int").alias("s"), F.array().cast("array<int>").alias("out"))
+    step = lambda acc, x: F.struct(F.element_at(x["f"], acc["s"] + 1).alias("s"), F.concat(acc["out"], F.array(acc["s"])).alias("out"))
+    return F.aggregate(items, zero, step)["out"]
+
+
+def chunk_states(fs: DataFrame, block: int = 64) -> DataFrame:
+    """Prefix scan over the transition functions of each document: columns id, n, state (in which chunk n starts).
+
+    fs: id, n, f.  Up: the functions of every ``block`` chunks are composed into one.
+    Across: the composed functions, one per block, are applied in turn.  Down: each
+    block hands its start state through its chunks.  A text has at most 2^31
+    bytes, hence a bounded number of blocks; work is linear in the chunks.
+    """
+    blocks = fs.withColumn("g", F.floor(F.col("n") / block)).groupBy("id", "g").agg(F.sort_array(F.collect_list(F.struct("n", "f"))).alias("items"))
+    blocks = cut(blocks, "blocks")
+    same = F.array(*[F.lit(s) for s in range(Transducer.N)])
+    whole = F.aggregate("items", same, lambda acc, x: F.transform(acc, lambda s: F.element_at(x["f"], s + 1)))
+    per_doc = blocks.select("id", F.struct("g", whole.alias("f")).alias("b")).groupBy("id").agg(F.sort_array(F.collect_list("b")).alias("bs"))
+    begin = per_doc.select("id", F.explode(F.arrays_zip(F.col("bs")["g"].alias("g"), _states(F.col("bs"), F.lit(Transducer.START)).alias("s"))).alias("x"))
+    begin = begin.select("id", F.col("x")["g"].alias("g"), F.col("x")["s"].alias("s"))
+    inner = blocks.join(begin, ["id", "g"])
+    inner = inner.select("id", F.explode(F.arrays_zip(F.col("items")["n"].alias("n"), _states(F.col("items"), F.col("s")).alias("state"))).alias("x"))
+    return inner.select("id", F.col("x")["n"].alias("n"), F.col("x")["state"].alias("state"))
+
+
 def sentences(docs: DataFrame, doc_id: str, text: str, lang: str, *, chunk: int = CHUNK) -> DataFrame:
     """Columns doc_id, sent_from, sent_to for every sentence of every document.
 
     Offsets count Unicode characters from 0.  NULL, empty and blank texts have
     no sentences; a text without any stop is one.  Repeated rows give repeated
-    sentences.  Texts longer than ``chunk`` characters are cut at blanks inside
-    plain words and processed in parallel; the result is the same.
+    sentences.  Texts longer than ``chunk`` characters are cut where it is safe and
+    processed in parallel; the result is that of the whole text.
     """
     base = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     base = base.filter(F.trim("text") != "")
@@ -377,17 +424,15 @@ def sentences(docs: DataFrame, doc_id: str, text: str, lang: str, *, chunk: int
     long_docs = long_docs.select(F.to_json("id").alias("id"), "text", "lang")
     parts = long_docs.mapInPandas(lambda it: _chunks(it, chunk), "id string, n long, base long, part string, lang string")
     parts = cut(parts, "chunks")
-    spread = parts.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id", "n")
-    fs = spread.mapInPandas(_functions, "id string, n long, f array<int>")
-    # prefix composition: one row of nine numbers per chunk, in chunk order
-    order = Window.partitionBy("id").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
-    state = F.aggregate(F.collect_list("f").over(order), F.lit(Transducer.START), lambda s, f: F.element_at(f, s + 1))
-    starts = fs.select("id", "n", state.alias("state"))
-    spans = spread.join(starts, ["id", "n"]).mapInPandas(_emit, "id string, n long, sent_from long, sent_to long, joined boolean")
+    # an explicit number of partitions is kept however few bytes they hold
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fs = parts.repartition(n, "id", "n").mapInPandas(_functions, "id string, n long, f array<int>")
+    starts = chunk_states(fs)
+    spans = cut(parts.join(starts, ["id", "n"]).repartition(n, "id", "n").mapInPandas(_emit, "id string, n long, sent_from long, sent_to long, joined boolean"), "spans")
     # a span that continues the one before it in the document takes its start
-    before = Window.partitionBy("id").orderBy("sent_from")
-    group = F.sum(F.when(F.col("joined"), 0).otherwise(1)).over(before)
-    whole = spans.withColumn("g", group).groupBy("id", "g").agg(F.min("sent_from").alias("sent_from"), F.max("sent_to").alias("sent_to"))
+    fresh = F.when(F.col("joined"), 0).otherwise(1)
+    whole = running(spans, ["id"], "sent_from", [], {"g": ("sum", fresh)}, bucket=50 * chunk)
+    whole = whole.groupBy("id", "g").agg(F.min("sent_from").alias("sent_from"), F.max("sent_to").alias("sent_to"))
     whole = whole.select(F.from_json("id", f"id {kind}, u long")["id"].alias("id"), "sent_from", "sent_to")
     return out.unionByName(whole).withColumnRenamed("id", doc_id)
 

@@ -397,6 +397,7 @@ def test_chunks_equal_whole(spark):
     for lang, parts in SPLIT:
         body = [rng.choice(parts) for _ in range(120)]
         docs.append((len(docs), ("" if lang in ("zh", "ja") else " ").join(body), lang, 0))
+    docs += [(20 + k, unit * 25, lang, 0) for k, (lang, unit) in enumerate(CUT_TEXTS)]
     docs += [(50, None, "en", 0), (51, " \n ", "en", 0), (52, "no stop", None, 0), (52, "no stop", None, 0)]
     df = spark.createDataFrame(docs, "doc_id long, text string, lang string, sent_from int")
     got = sorted((r.doc_id, r.sent_from, r.sent_to) for r in sentences.sentences(df, "doc_id", "text", "lang", chunk=300).collect())
@@ -404,6 +405,41 @@ def test_chunks_equal_whole(spark):
     assert got == want
 
 
+def test_prefix_scan_against_loop(spark):
+    rng = random.Random(6)
+    n = sentences.Transducer.N
+    rows, want = [], {}
+    for doc, size in (("a", 1), ("b", 63), ("c", 64), ("d", 65), ("e", 1000)):
+        state = sentences.Transducer.START
+        for i in range(size):
+            f = [rng.randrange(n) for _ in range(n)]
+            rows.append((doc, i, f))
+            want[doc, i] = state
+            state = f[state]
+    fs = spark.createDataFrame(rows, "id string, n long, f array<int>")
+    for block in (2, 64):
+        assert {(r.id, r.n): r.state for r in sentences.chunk_states(fs, block).collect()} == want
+
+
+CUT_TEXTS = [
+    ("th", "คืนนี้ช่องโทรโดวาฉายละครเรื่องตลาดทองคำเวลา 21:15 นาฬิกา ดร.อิสราจะเล่าเรื่องตลาดให้ฟัง ABCไทยแลนด์ มา "),
+    ("zh", "今夜播出安静的果园，没有任何停顿的一段很长的话KBS台也会播出第3季，然后继续"), ("ja", "今夜はなにもないのに、ずっとつづくながいながいはなし。『港』と聞く"),
+    ("en", "12 34 [56] 7.5\n\n- 8 % 9; Dr. Who? He left.\n \nNo. 5 etc. "),
+]
+
+
+@pytest.mark.parametrize("lang, unit", CUT_TEXTS)
+def test_cuts_keep_states(lang, unit):
+    """Chunks of texts without blanks or stops, their functions composed, against the whole text."""
+    m, text = sentences._MACHINE, unit * 60
+    at = sentences._cuts(text, 40)
+    assert len(at) > 10 and max(b - a for a, b in zip(at, at[1:])) < 400
+    for cut in at[1:]:
+        left, right, whole = m.classes(text[:cut], lang), m.classes(text[cut:], lang), m.classes(text, lang)
+        f, g, h = m.function(left), m.function(right), m.function(whole)
+        assert [g[s] for s in f] == h, (text[cut - 10 : cut], text[cut : cut + 10])
+
+
 def test_language_of_whole_text():
     text = "Zahlen Tabelle Anhang. " * 200 + "Die Sendung und der Film am 22. Staffel ist auf das Ende von der Reihe nicht ein Teil."
     assert len(text) > 4500 and sentences.guess_language(text, None) == "de"
