@@ -13,8 +13,8 @@ hinge losses:
 * transitivity: what holds for a station holds for a station that can't be
   told from it.
 
-The convex problem is solved by alternating directions (consensus ADMM) whose
-steps are joins and aggregations over DataFrames; the values are confidences.
+The convex problem is solved by alternating directions (consensus ADMM), spread
+over its connected components; the values are confidences.
 """
 
 from __future__ import annotations
@@ -24,11 +24,13 @@ import unicodedata
 from collections.abc import Iterator
 from itertools import combinations
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from airloom.llm.components import components
 from airloom.llm.confusables import LOOK_ALIKE, skeleton_of
 from airloom.session import cut
 
@@ -195,21 +197,24 @@ def allowed(length: int, least: float) -> int:
     return math.floor((1 - least) * length + 1e-9)
 
 
-def block_keys(brand: str, least: float, kept: int = 6) -> list[str]:
-    """Keys of which any two brands with a similarity of ``least`` share one.
+def block_keys(brand: str, least: float, left: bool, kept: int = 6) -> list[str]:
+    """Keys of which any two brands of the two sides with a similarity of ``least`` share one.
 
     Two names at most k edits apart have a common rest after k deletions in each;
     so their first kept + k letters (filled up at the end) share a form with k
-    letters less.  k depends on the longer name, so a name has keys for every k
-    that a partner of its length or a longer one may bring.
+    letters less.  k depends on the longer name, so a key names its length and
+    which side has it: names of other lengths don't meet there.
     """
-    n, keys = len(brand), set()
-    longest = n
-    while longest + 1 - n <= allowed(longest + 1, least):
-        longest += 1
-    for k in range(allowed(n, least), allowed(longest, least) + 1):
+    n, keys, longest = len(brand), set(), len(brand)
+    while True:
+        k = allowed(longest, least)
+        if longest - n > k:
+            break
+        tags = ("both", "left" if left else "right") if longest == n else ("right" if left else "left",)
         head = brand[: kept + k].ljust(kept + k)
-        keys |= {f"{k} {''.join(x)}" for x in combinations(head, kept)}
+        for x in {"".join(c) for c in combinations(head, kept)}:
+            keys |= {f"{longest} {t} {x}" for t in tags}
+        longest += 1
     return sorted(keys)
 
 
@@ -238,6 +243,11 @@ def subject_words(names: DataFrame, name: str, codes: set[str], share: float = 0
     return [r.w for r in words.filter(F.col("n") >= share * total).collect() if r.w]
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows over as many tasks as a shuffle has, however few bytes they are: Python work counts by rows."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def parsed(rows: DataFrame, name: str, parser: Parser) -> DataFrame:
     """Rows with brand, subject, number, name_country and subject_score of the name."""
     texts = rows.select(F.col(name).alias("text")).filter("text is not null").distinct()
@@ -248,58 +258,128 @@ def parsed(rows: DataFrame, name: str, parser: Parser) -> DataFrame:
             yield pd.DataFrame(got, columns=["text", "brand", "subject", "number", "name_country", "subject_score"])
 
     schema = "text string, brand string, subject string, number string, name_country string, subject_score double"
-    return rows.join(texts.mapInPandas(run, schema), rows[name] == F.col("text")).drop("text")
+    return rows.join(_spread(texts).mapInPandas(run, schema), rows[name] == F.col("text")).drop("text")
 
 
-def _similar(pairs: DataFrame, a: str, b: str, least: float) -> DataFrame:
-    """Distinct brand pairs with their similarity."""
+def brand_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """Columns brand, other, brand_sim for all brands of the two sides with a similarity of ``least``.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Pairs that share a key are first held against the built-in edit distance, which
+    counts a neighbour swap as two edits: above twice the allowed number no pair is
+    similar.  Only the rest is compared in Python.
+    """
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in batches:
-            yield t.assign(brand_sim=[similarity(x, y, least) for x, y in zip(t[a], t[b])])
+            t = t.assign(brand_sim=[similarity(x, y, least) for x, y in zip(t["brand"], t["other"])])
+            yield t[t["brand_sim"] >= least]
 
-    return pairs.select(a, b).distinct().mapInPandas(run, f"{a} string, {b} string, brand_sim double")
+    def keys(side: DataFrame, is_left: bool) -> DataFrame:
+        def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                out = [(x, v) for x in b["brand"] for v in block_keys(x, least, is_left)]
+                yield pd.DataFrame(out, columns=["brand", "v"])
 
+        spelt = _spread(side.select("brand").distinct()).mapInPandas(spell, "brand string, v string")
+        # equal hashes of different keys only add pairs that the comparison drops
+        return spelt.select("brand", F.xxhash64("v").alias("v"))
 
-def brand_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
-    """Columns brand, other, brand_sim for all brands of the two sides with a similarity of ``least``."""
+    pairs = keys(left, True).hint("shuffle_merge").join(keys(right, False).withColumnRenamed("brand", "other"), "v")
+    edits = F.floor((1 - least) * F.greatest(F.length("brand"), F.length("other")) + 1e-9).cast("int")
+    near = pairs.filter((F.abs(F.length("brand") - F.length("other")) <= edits) & (F.levenshtein("brand", "other") <= 2 * edits))
+    near = near.select("brand", "other").distinct()
+    return cut(_spread(near).mapInPandas(compare, "brand string, other string, brand_sim double"), "brands")
 
-    def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = [(x, v) for x in b["brand"] for v in block_keys(x, least)]
-            yield pd.DataFrame(out, columns=["brand", "v"])
 
-    a = left.select("brand").distinct().mapInPandas(spell, "brand string, v string")
-    b = right.select("brand").distinct().mapInPandas(spell, "brand string, v string").withColumnRenamed("brand", "other")
-    return _similar(a.join(b, "v"), "brand", "other", least).filter(F.col("brand_sim") >= least)
+class NoConvergence(RuntimeError):
+    pass
+
 
+def admm(rule: np.ndarray, var: np.ndarray, coef: np.ndarray, weight: np.ndarray, constant: np.ndarray, *, rho: float, tol: float, max_rounds: int) -> np.ndarray:
+    """Values of the variables 0..n-1 of one block of whole components; weight and constant by rule, the rest by term."""
+    norm, degree = np.bincount(rule, coef * coef), np.bincount(var)
+    u, z = np.zeros(len(coef)), np.full(len(degree), 0.5)
+    for _ in range(max_rounds):
+        d = np.bincount(rule, coef * (z[var] - u)) + constant
+        # the step along the coefficients: none, full, or up to the hinge
+        x = z[var] - u - np.where(d <= 0, 0.0, np.minimum(weight / rho, d / norm))[rule] * coef
+        mean = np.clip(np.bincount(var, x + u) / degree, 0.0, 1.0)
+        moved, apart = np.abs(mean - z).max(), np.abs(x - mean[var]).max()
+        u, z = u + x - mean[var], mean
+        if max(moved, apart) < tol:
+            return z
+    raise NoConvergence(f"residuals {apart:.2g}, {moved:.2g} after {max_rounds} rounds")
+
+
+def _solve_here(rows: DataFrame, rho: float, tol: float, max_rounds: int, batch: int = 200_000) -> DataFrame:
+    """Components solved where they are: rows with root, rule, var, coef, weight, constant -> var, y."""
+    kind = rows.schema["var"].dataType.simpleString()
 
-def solve(terms: DataFrame, potentials: DataFrame, *, rounds: int = 12, rho: float = 1.0) -> DataFrame:
+    def solved(t: pd.DataFrame) -> pd.DataFrame:
+        rule, first = pd.factorize(t["rule"])[0], ~t["rule"].duplicated().to_numpy()
+        var, names = pd.factorize(t["var"])
+        y = admm(rule, var, t["coef"].to_numpy(), t["weight"].to_numpy()[first], t["constant"].to_numpy()[first], rho=rho, tol=tol, max_rounds=max_rounds)
+        return pd.DataFrame({"var": names, "y": y})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for b in batches:
+            held = b if held is None else pd.concat([held, b], ignore_index=True)
+            if len(held) >= batch:
+                # the last component may go on in the next batch
+                last = held["root"] == held["root"].iloc[-1]
+                if not last.all():
+                    yield solved(held[~last].reset_index(drop=True))
+                    held = held[last].reset_index(drop=True)
+        if held is not None and len(held):
+            yield solved(held)
+
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "root").sortWithinPartitions("root", "rule").mapInPandas(run, f"var {kind}, y double")
+
+
+def _solve_rounds(rows: DataFrame, rho: float, tol: float, max_rounds: int) -> DataFrame:
+    """The same updates as joins and aggregations, a round each, for components of any size."""
+    copies = cut(rows.withColumn("u", F.lit(0.0)).withColumn("z", F.lit(0.5)), "copies")
+    norm = F.sum(F.col("coef") * F.col("coef"))
+    for _ in range(max_rounds):
+        d = F.sum(F.col("coef") * (F.col("z") - F.col("u"))) + F.first("constant")
+        step = F.when(d <= 0, 0.0).otherwise(F.least(F.first("weight") / rho, d / norm))
+        moved = copies.join(copies.groupBy("rule").agg(step.alias("step")), "rule").withColumn("x", F.col("z") - F.col("u") - F.col("step") * F.col("coef"))
+        mean = moved.groupBy("var").agg(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.avg(F.col("x") + F.col("u")))).alias("zn"))
+        gap = F.greatest(F.abs(F.col("x") - F.col("zn")), F.abs(F.col("zn") - F.col("z"))).alias("gap")
+        now = moved.join(mean, "var").select("rule", "var", "coef", "weight", "constant", (F.col("u") + F.col("x") - F.col("zn")).alias("u"), F.col("zn").alias("z"), gap)
+        copies = cut(now, "copies")
+        if (copies.agg(F.max("gap")).first()[0] or 0.0) < tol:
+            return copies.groupBy("var").agg(F.first("z").alias("y"))
+    raise NoConvergence(f"no fixed point after {max_rounds} rounds")
+
+
+def solve(terms: DataFrame, potentials: DataFrame, *, rho: float = 2.0, tol: float = 1e-3, max_rounds: int = 5000, most_terms: int = 500_000) -> DataFrame:
     """Minimise the sum of weight * max(0, coefficients . y + constant) over 0 <= y <= 1.
 
-    terms: rule, var, coef.  potentials: rule, weight, constant.  Result: var, y.
-    Consensus ADMM: each rule moves its own copies of the variables (closed
-    form), each variable averages its copies.  The state of every round is
-    written to the shared folder, for a round reads it more than once.
+    terms: rule, var (long), coef.  potentials: rule, weight, constant.  Result:
+    var, y.  Consensus ADMM: each rule moves its own copies of the variables
+    (closed form), each variable averages its copies, until no copy is further than
+    ``tol`` from its variable and no variable moves by more.  ``max_rounds`` is a
+    guard that raises.  Variables that no rule joins are independent problems, so
+    connected components are solved side by side, many in one task; a component of
+    more than ``most_terms`` terms is solved by the same updates over DataFrames.
     """
-    norm = terms.groupBy("rule").agg(F.sum(F.col("coef") * F.col("coef")).alias("norm"))
-    rules = cut(potentials.join(norm, "rule"), "rules")
-    copies = cut(terms.withColumn("u", F.lit(0.0)).withColumn("z", F.lit(0.5)), "copies")
-    for _ in range(rounds):
-        value = copies.groupBy("rule").agg(F.sum(F.col("coef") * (F.col("z") - F.col("u"))).alias("cv"))
-        d = F.col("cv") + F.col("constant")
-        # the step along the coefficients: none, full, or up to the hinge
-        step = F.when(d <= 0, 0.0).otherwise(F.least(F.col("weight") / rho, d / F.col("norm")))
-        moves = value.join(rules, "rule").select("rule", step.alias("step"))
-        moved = copies.join(moves, "rule").withColumn("x", F.col("z") - F.col("u") - F.col("step") * F.col("coef"))
-        mean = moved.groupBy("var").agg(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.avg(F.col("x") + F.col("u")))).alias("zn"))
-        copies = moved.join(mean, "var").select("rule", "var", "coef", (F.col("u") + F.col("x") - F.col("zn")).alias("u"), F.col("zn").alias("z"))
-        copies = cut(copies, "copies")
-    return copies.groupBy("var").agg(F.first("z").alias("y"))
+    rows = cut(terms.join(potentials, "rule"), "terms")
+    joint = rows.groupBy("rule").agg(F.min("var").alias("a"), F.max("var").alias("z")).filter("a <> z").select("rule", "a")
+    edges = rows.select("rule", "var").join(joint, "rule").select("a", F.col("var").alias("b"))
+    root = components(edges).select(F.col("node").alias("var"), "root")
+    rows = cut(rows.join(root, "var", "left").withColumn("root", F.coalesce("root", "var")), "rooted")
+    large = rows.groupBy("root").agg(F.count("*").alias("n")).filter(F.col("n") > most_terms).select("root")
+    if large.isEmpty():
+        return _solve_here(rows, rho, tol, max_rounds)
+    far = _solve_rounds(rows.join(large, "root", "left_semi").drop("root"), rho, tol, max_rounds)
+    return _solve_here(rows.join(large, "root", "left_anti"), rho, tol, max_rounds).union(far)
 
 
 def link(
-    stations: DataFrame, records: DataFrame, *, least_brand: float = 0.7, rounds: int = 12,
+    stations: DataFrame, records: DataFrame, *, least_brand: float = 0.7,
     w_similar: float = 1.0, w_prior: float = 0.35, w_exclusive: float = 4.0, w_transitive: float = 0.5,
 ) -> DataFrame:
     """Confidence of each candidate (station, record).
@@ -321,10 +401,11 @@ def link(
     pairs = stations.join(brands, "brand").join(r, ["other", "subject", "number"]).filter(fits)
     score = 0.55 * F.col("brand_sim") + 0.15 * F.col("subject_score") + 0.3 * place
     pairs = pairs.groupBy("station", "source", "record").agg(F.max(score).alias("s"), F.first("brand").alias("brand"), F.first("subject").alias("subject"), F.first("number").alias("number"), F.first("country").alias("country"))
-    pairs = cut(pairs.withColumn("var", F.xxhash64("station", "source", "record")), "pairs")
+    pairs = cut(pairs.withColumn("var", F.monotonically_increasing_id()), "pairs")
 
     def rule(kind: str, *keys: str):
-        return F.xxhash64(F.lit(kind), *keys)
+        """The rule's name, from the values it is about."""
+        return F.concat_ws("\x01", F.lit(kind), *[F.col(k).cast("string") for k in keys])
 
     # how much the pair's similarity speaks for it; scores below the base speak against it
     want = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("s") - 0.6) / 0.3))
@@ -345,5 +426,5 @@ def link(
         similar.select("rule", "weight", "constant").union(prior.select("rule", "weight", "constant")).union(shared)
         .union(follow.select("rule", F.lit(w_transitive), F.lit(0.0)))
     )
-    y = solve(terms, potentials.dropDuplicates(["rule"]), rounds=rounds)
+    y = solve(terms, potentials.dropDuplicates(["rule"]))
     return pairs.join(y, "var").select("station", "source", "record", F.col("y").alias("confidence"), "s")

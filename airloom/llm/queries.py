@@ -39,7 +39,7 @@ def _p3_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     parser = Parser(subject_words(s, "name", codes), codes)
     s = parsed(s.distinct(), "name", parser).withColumn("country", F.coalesce("name_country", F.when(code != "", code)))
     form = ["brand", "subject", "number", "country"]
-    station = F.xxhash64(*[F.coalesce(x, F.lit("?")) for x in form])
+    station = F.concat_ws("\x01", *[F.coalesce(x, F.lit("?")) for x in form])
     s = cut(s.withColumn("station", station).select("stream_id", "station", *form), "streams")
     r = parsed(c, "display_name", parser).join(sources, "source", "left")
     # a country written in any name of a channel holds for all of them
@@ -63,7 +63,7 @@ def p3_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p3_confidence(spark, sf_dir).filter("confidence >= 0.5").select("stream_id", "source", "channel_id")
+    return p3_confidence(spark, sf_dir).filter("confidence >= 0.49").select("stream_id", "source", "channel_id")
 
 
 def _survivors(spark: SparkSession, sf_dir: str, at) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,12 +52,26 @@ def test_admm_solution(spark):
     """One strong and one weak claim on the same record, and a free pair."""
     terms = [(1, 10, -1.0), (2, 11, -1.0), (3, 10, 1.0), (3, 11, 1.0), (4, 12, -1.0), (5, 10, 1.0), (6, 11, 1.0), (7, 12, 1.0)]
     pots = [(1, 1.0, 1.0), (2, 0.5, 1.0), (3, 4.0, -1.0), (4, 1.0, 0.8), (5, 0.1, 0.0), (6, 0.1, 0.0), (7, 0.1, 0.0)]
-    y = linkage.solve(
-        spark.createDataFrame(terms, "rule long, var long, coef double"),
-        spark.createDataFrame(pots, "rule long, weight double, constant double"), rounds=40,
-    )
-    got = {r.var: r.y for r in y.collect()}
-    assert got[10] == pytest.approx(1, abs=0.03) and got[11] == pytest.approx(0, abs=0.03) and got[12] == pytest.approx(0.8, abs=0.03)
+    frames = spark.createDataFrame(terms, "rule long, var long, coef double"), spark.createDataFrame(pots, "rule long, weight double, constant double")
+    for most in (500_000, 2):  # in place, and by rounds over DataFrames
+        got = {r.var: r.y for r in linkage.solve(*frames, tol=2e-3, most_terms=most).collect()}
+        assert got[10] == pytest.approx(1, abs=0.03) and got[11] == pytest.approx(0, abs=0.03) and got[12] == pytest.approx(0.8, abs=0.03)
+
+
+def test_admm_reaches_optimum():
+    """Groups whose best values are known: equal claims share one, a strong claim beats twenty weak ones."""
+    rng = random.Random(1)
+    for claims in ([1.0, 1.0], [0.9] * 5, [1.0] + [0.6] * 20, [rng.random() for _ in range(12)]):
+        n = len(claims)
+        rule = np.array([*range(2 * n), *[2 * n] * n])
+        var = np.array([*range(n)] * 3)
+        coef = np.array([-1.0] * n + [1.0] * 2 * n)
+        weight, constant = np.array([1.0] * n + [0.35] * n + [4.0]), np.array([*claims, *[0.0] * n, -1.0])
+        y = linkage.admm(rule, var, coef, weight, constant, rho=2.0, tol=1e-5, max_rounds=20000)
+        cost = lambda y: sum(max(0, c - v) for c, v in zip(claims, y)) + 0.35 * sum(y) + 4 * max(0, sum(y) - 1)
+        # gradient 1 - 0.35 per unit of claim: the optimum fills one unit, or all claims
+        best = sum(claims) - 0.65 * min(1.0, sum(claims))
+        assert cost(y) == pytest.approx(best, abs=1e-3), claims
 
 
 def test_edit_distance_brute():
