@@ -38,11 +38,15 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors see, from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (local tests) a temporary folder is made,
-    once per application.
+    Where the setting is absent a temporary folder is made, once per application,
+    but only if driver and executors are one process (``local``); on a cluster that
+    would be a folder of one machine, so the setting is asked for.
     """
     conf = spark.sparkContext.getConf().get(_CONF, None) or spark.conf.get(_CONF, None)
     if not conf:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"{_CONF} must name a folder that all executors of {master} share")
         conf = "file://" + tempfile.mkdtemp(prefix="airloom-")
         spark.conf.set(_CONF, conf)
     return conf.rstrip("/")
@@ -50,7 +54,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/airloom/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/airloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
@@ -71,11 +75,20 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def forget_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; results that read from them lazily must be written before."""
+    drop_path(spark, f"{shared_dir(spark)}/airloom/{spark.sparkContext.applicationId}")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the files give fewer tasks than there are cores; larger inputs stay as they are."""
+    """Rows over all cores where files give fewer tasks than there are cores.
+
+    Only the placement of rows differs, which no operator's result depends on but
+    the packing of problem 8: that is one valid packing among many for each placement.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
