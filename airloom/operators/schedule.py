@@ -153,3 +153,13 @@ def carry_forward(rows: DataFrame, key: str, order: list[str], columns: list[str
     """Missing cells take the last value above them (row spans of a table); order: columns, the first one numeric."""
     out = running(rows, [key], order[0], order[1:], {c: ("last", F.col(c)) for c in columns}, bucket=bucket)
     return out.select(*rows.columns)
+
+
+# Titles that are no programme in a guide's health, in lower case.
+UNKNOWN_TITLES = ("to be announced", "tba", "no information", "no programme information", "no program information", "no match", "no data")
+
+
+def known_title(title: Column | str) -> Column:
+    """Whether a title counts for usable hours: not blank and no label of an unknown programme."""
+    t = F.lower(F.trim(F.coalesce(title, F.lit(""))))
+    return (t != "") & ~t.isin(*UNKNOWN_TITLES)

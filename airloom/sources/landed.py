@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airloom.operators.schedule import failure_runs
+from airloom.operators.schedule import failure_runs, first_wins
 from airloom.operators.sequence import running
 
 STREAMS = "stream_id string, name string, category_id string, stream_icon string, epg_channel_id string"
@@ -49,6 +49,28 @@ def read_scraped(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("channel", F.posexplode("rows").alias("row_ord", "r")).select("channel", "row_ord", "r.title", F.col("r.start").alias("start_at"), F.col("r.stop").alias("stop_at"))
 
 
+EVENTS = "channels array<struct<sid:string,name:string,events:array<struct<st:long,d:long,t:string,sy:string>>>>"
+
+
+def read_event_days(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
+    """Pages of channels with events as rows: channel, start, stop, title, descr; an event lasts ``d`` seconds from epoch ``st``.
+
+    The first sighting of (channel, start) stays, by title.  Events without start or
+    with a duration below one second are left out.
+    """
+    page = spark.read.schema(EVENTS).json(path)
+    c = page.select(F.explode("channels").alias("c")).select(F.concat(F.lit(prefix), "c.sid").alias("channel"), F.explode("c.events").alias("e"))
+    rows = c.filter("e.st is not null and e.d > 0").select("channel", F.col("e.st").alias("start"), (F.col("e.st") + F.col("e.d")).alias("stop"), F.col("e.t").alias("title"), F.col("e.sy").alias("descr"))
+    return first_wins(rows, ["channel", "start"], ["title", "stop", "descr"])
+
+
+def last_file_wins(rows: DataFrame, keys: list[str], file_ord: str) -> DataFrame:
+    """Union of split files where a key that several files declare is taken from the last one, whole."""
+    rest = [c for c in rows.columns if c not in keys]
+    best = F.max_by(F.struct(*rest), F.struct(file_ord, *[c for c in rest if c != file_ord])).alias("x")
+    return rows.groupBy(*keys).agg(best).select(*keys, "x.*").select(*rows.columns)
+
+
 def fault_of(content: bytes | None) -> str | None:
     """Why a download is no guide; None if it is one."""
     if not content:

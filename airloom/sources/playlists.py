@@ -33,6 +33,45 @@ def read_m3u(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def m3u_channels(rows: DataFrame, server: str) -> DataFrame:
+    """The richer variant: id -> two lines with name, logo and group; text is escaped and addresses are encoded.
+
+    rows: id, stream_id, name, icon, group.  Rows without stream or name are left out.
+    """
+    flat = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"[\r\n\x{2028}\x{2029}\x{0}-\x{1f}]", " ")
+    safe = lambda c: F.replace(F.replace(flat(c), F.lit("&"), F.lit("&amp;")), F.lit('"'), F.lit("&quot;"))
+    url = F.concat(F.lit(f"https://{server}/live/"), F.replace(F.url_encode(F.col("stream_id").cast("string")), F.lit("+"), F.lit("%20")), F.lit(".ts"))
+    line = F.concat(
+        F.lit('#EXTINF:-1 tvg-id="'), safe("id"), F.lit('" tvg-name="'), safe("name"), F.lit('" tvg-logo="'), safe("icon"),
+        F.lit('" group-title="'), safe("group"), F.lit('",'), safe("name"), F.lit("\n"), url,
+    )
+    return rows.filter("stream_id is not null and coalesce(name, '') <> ''").select("id", line.alias("entry"))
+
+
+def playlist_faults(entries: DataFrame, guide: DataFrame, expected: int) -> DataFrame:
+    """Faults of a playlist that was read (ord, id, url), with how often each occurs: columns fault, n_rows; none is a pass.
+
+    guide: id of the channels that must be in the playlist.  expected: number of entries.
+    """
+    ids = entries.groupBy("id").agg(F.count("*").alias("n"))
+    own = entries.agg(
+        F.count(F.when(F.col("id").isNull(), 1)).alias("no id"), F.count(F.when(F.col("url").isNull(), 1)).alias("no address"),
+        F.when(F.count("*") != expected, F.abs(F.count("*") - expected)).alias("size"),
+    )
+    twice = ids.agg(F.count(F.when((F.col("n") > 1) & F.col("id").isNotNull(), 1)).alias("repeated id"))
+    gone = guide.select("id").distinct().join(ids.select("id"), "id", "left_anti").agg(F.count("*").alias("missing id"))
+    flat = lambda df: df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("fault"), F.col(c).cast("long").alias("n_rows")) for c in df.columns])))
+    return flat(own).union(flat(twice)).union(flat(gone)).filter("n_rows > 0")
+
+
+def verify_manifest(listed: DataFrame, rows: DataFrame, key: str, content: str) -> DataFrame:
+    """Each key of a manifest or of the contents with its state: same, changed, missing or unlisted."""
+    now = manifest(rows, key, content).select(key, F.col("sha256").alias("__now"))
+    both = listed.select(key, "sha256").join(now, key, "full_outer")
+    state = F.when(F.col("sha256").isNull(), "unlisted").when(F.col("__now").isNull(), "missing").when(F.col("sha256") == F.col("__now"), "same").otherwise("changed")
+    return both.select(key, state.alias("state"))
+
+
 def manifest(rows: DataFrame, key: str, content: str) -> DataFrame:
     """key, bytes and sha256 of each content."""
     return rows.filter(F.col(content).isNotNull()).select(key, F.octet_length(content).cast("long").alias("n_bytes"), F.sha2(F.col(content).cast("binary"), 256).alias("sha256"))
