@@ -3,7 +3,9 @@
 skeleton = decompose, replace each character by its prototype, decompose again.
 Two texts look the same iff their skeletons are equal.  Prototypes of width
 variants, styled letters, blanks and invisible characters come from rules over
-the Unicode database; only look-alike letters are a list.
+the Unicode database; only look-alike letters are a list, which covers the
+letters in use by feeds and the common ones of rarer scripts, not all of the
+public confusables data.
 """
 
 from __future__ import annotations
@@ -37,30 +39,51 @@ LOOK_ALIKE = {
 }
 
 
+# Further look-alikes, of scripts that no feed's names are written in.
+RARE = {
+    # Cyrillic palochka and letters of old or small alphabets, Latin letters of phonetic and other use
+    "Ӏ": "l", "ӏ": "l", "Ь": "b", "Һ": "h", "ҽ": "e", "ԁ": "d", "Ԛ": "Q", "ı": "i", "ȷ": "j", "ʏ": "y", "ƅ": "b", "ƽ": "s", "ᴀ": "A", "ᴅ": "D", "ᴇ": "E",
+    # Cherokee
+    "Ꭰ": "D", "Ꭱ": "R", "Ꮍ": "Y", "Ꮐ": "G", "Ꮒ": "h", "Ꮞ": "4", "Ꮟ": "b", "Ꮢ": "R", "Ꮤ": "W", "Ꮥ": "S", "Ꮪ": "S", "Ꮮ": "L", "Ꮷ": "d", "Ꮾ": "6", "Ᏻ": "G",
+    # Coptic
+    "Ⲁ": "A", "Ⲃ": "B", "Ⲏ": "H", "Ⲓ": "I", "Ⲕ": "K", "Ⲙ": "M", "Ⲛ": "N", "Ⲟ": "O", "Ⲣ": "P", "Ⲥ": "C", "Ⲧ": "T", "Ⲩ": "Y", "Ⲭ": "X", "ⲟ": "o", "ⲣ": "p", "ⲥ": "c",
+    # Lisu
+    "ꓐ": "B", "ꓑ": "P", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N", "ꓡ": "L", "ꓢ": "S", "ꓣ": "R",
+    "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O", "ꓴ": "U",
+    # Armenian and runes
+    "Ս": "U", "յ": "j", "ᚷ": "X", "ᛕ": "K",
+}
+
+
 @lru_cache(maxsize=1)
 def prototypes() -> dict[int, str]:
-    """Code point -> prototype, for str.translate after decomposition."""
+    """Code point -> prototype, for str.translate after decomposition.
+
+    ASCII letters, figures and marks are their own prototypes (I, l and 1 stay
+    apart, for letter case and spelling alter the look).
+    """
     out: dict[int, str] = {}
-    for i in range(0x80, sys.maxunicode + 1):
+    for i in range(sys.maxunicode + 1):
         c = chr(i)
         kind = unicodedata.category(c)
-        if kind in ("Cf", "Cc") or 0xFE00 <= i <= 0xFE0F or 0xE0100 <= i <= 0xE01EF or i == 0x34F:
-            out[i] = ""  # invisible
-        elif kind in ("Zs", "Zl", "Zp") or i in (0x3164, 0xFFA0, 0x2800):
+        if kind in ("Zs", "Zl", "Zp") or c in "\t\n\v\f\r\x85" or i in (0x3164, 0xFFA0, 0x2800):
             out[i] = " "
-        elif d := unicodedata.decomposition(c):
+        elif kind in ("Cf", "Cc") or 0xFE00 <= i <= 0xFE0F or 0xE0100 <= i <= 0xE01EF or i == 0x34F:
+            out[i] = ""  # invisible
+        elif i >= 0x80 and (d := unicodedata.decomposition(c)):
             tag = d.split()[0]
             if tag in ("<wide>", "<narrow>", "<font>") or (tag == "<compat>" and kind in ("Ll", "Lu", "Nl")):
                 out[i] = unicodedata.normalize("NFKC", c)
-    out |= {ord(k): v for k, v in LOOK_ALIKE.items()}
+    out |= {ord(k): v for k, v in (LOOK_ALIKE | RARE).items()}
     # a compatibility form may lead to a letter that is itself in the list
-    table = str.maketrans(LOOK_ALIKE)
-    return {k: v.translate(table) for k, v in out.items()} | {9: " ", 10: " ", 13: " "}
+    table = str.maketrans(LOOK_ALIKE | RARE)
+    return {k: v.translate(table) for k, v in out.items()}
 
 
 def skeleton_of(text: str) -> str:
-    if text.isascii():
-        return " ".join(text.split(" ")).strip()
+    """Decomposed prototypes without outer blanks; the same path for all characters."""
+    if text.isascii() and text.isprintable():
+        return text.strip()  # the table leaves such texts as they are
     out = unicodedata.normalize("NFD", text).translate(prototypes())
     return unicodedata.normalize("NFD", out).strip()
 

@@ -12,6 +12,10 @@
 4. Learned transformations are inverted on all other words.  A word counts as
    garbled if its restored form is much more usual, judged by character pairs
    of the whole corpus; replacement and control characters always count.
+
+Transformations come from a fixed space: UTF-8 read in one of 21 code pages,
+twice UTF-8, or one code page read in another (see ``space``).  The alignment
+decides which of them are learned; damage by anything else is not found.
 """
 
 from __future__ import annotations
@@ -39,8 +43,6 @@ BUCKETS = 1 << 18
 _WORD = regex.compile(r"[A-Za-z]*[^\x00-\x7f][A-Za-z\u0080-\U0010ffff]*")
 _RUN = regex.compile(r"[^\x00-\x7f]+")
 _LOST = regex.compile("[�\u0080-\u009f]")
-# Symbols that no word holds in its midst; two of them in one word are the bytes of another script.
-_ALIEN = regex.compile("[¢¤¥¦§¨©ª¬®¯±²³´µ¶¸¹º¼½¾×÷†‡‰‹›ƒˆ˜™]")
 _BETWEEN = regex.compile(r"[A-Za-z][^\x00-\x7f][A-Za-z]")
 
 Step = tuple[str, str]  # written in, read in
@@ -154,7 +156,7 @@ class Model:
         if (known := self._memo.get(word)) is not None:
             return known
         lost = bool(_LOST.search(word))
-        base, sure = self.usual(word), lost or len(set(_ALIEN.findall(word))) >= 2
+        base, sure = self.usual(word), lost
         forms: dict[int, tuple[float, str]] = {}
         # a short word without letters around it says little about code pages
         enough = sum(c > "\x7f" for c in word) >= 3 or len(word) >= 3 or bool(_BETWEEN.search(word))

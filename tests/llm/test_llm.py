@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from airloom.llm import leakage, linkage, mojibake, packing, sentences, survivor
 from airloom.llm.components import components
-from airloom.llm.confusables import consistent_form, forms, look_alike_pairs, skeleton_of
+from airloom.llm.confusables import consistent_form, forms, look_alike_pairs, prototypes, skeleton_of
 
 
 # --- 1: encodings -----------------------------------------------------------------------------
@@ -38,6 +38,27 @@ def test_garbled_fields(spark):
     assert mojibake.garbled(df.filter("false"), "id", ["title"]).count() == 0
 
 
+def test_restoration_of_planted_damage(spark):
+    """Each code page damages its share of the titles; most come back exactly, single-byte and wide readers alike."""
+    rng = random.Random(13)
+    nouns = "Rivière Forêt Éclair Żaba Księżyc Łąka Мельница Пристань Крепость Площадь Brücke Gärten Straße Cañón Señal Árbol Ελιά Θάλασσα".split()
+    texts = [" ".join(rng.sample(nouns, 2)) + f" {k % 90}" for k in range(900)]
+    rows, bad = [(i, t) for i, t in enumerate(texts)], {}
+    chains = [(("utf-8", r),) for r in ("cp1252", "latin-1", "cp1250", "cp1251", "cp437", "cp850", "mac_roman", "koi8_r", "gbk")] + [(("utf-8", "cp1252"),) * 2]
+    for c, chain in enumerate(chains):
+        for k in range(25):
+            t = rng.choice(texts)
+            g = mojibake.damage(t, chain)
+            if g and g != t:
+                bad[10_000 + 100 * c + k] = (c, g, t)
+    rows += [(i, g) for i, (_, g, _) in bad.items()]
+    got = {r.id: r for r in mojibake.garbled(spark.createDataFrame(rows, "id long, title string"), "id", ["title"]).collect()}
+    found = sum(i in got for i in bad) / len(bad)
+    good = sum(i in got and got[i].restored == t for i, (_, _, t) in bad.items()) / len(bad)
+    per = {c: [sum(i in got and got[i].restored == t for i, (k, _, t) in bad.items() if k == c), sum(k == c for k, _, _ in bad.values())] for c in range(len(chains))}
+    assert len(set(got) - set(bad)) == 0 and found >= 0.99 and good >= 0.9, (found, good, per)
+
+
 # --- 3: linkage -------------------------------------------------------------------------------
 def test_name_parser():
     p = linkage.Parser([linkage.fold(w) for w in "news kids history sport classic comedy docu world".split()], {"DE", "PK", "US"})
@@ -238,6 +259,9 @@ def test_skeletons(spark):
     assert len({skeleton_of(t) for t in same}) == 1
     assert skeleton_of("Falöefon") == skeleton_of("Falöefon") != skeleton_of("Faloefon")
     assert skeleton_of("HD") != skeleton_of("hd") and consistent_form("Fаlö") == "Falö"
+    assert skeleton_of("A\tB") == skeleton_of("А\tB") == "A B" and skeleton_of("a\x00b") == "ab" and skeleton_of("Ꮪӏ") == "Sl"
+    table = prototypes()
+    assert all(chr(i).translate(table) == chr(i) for i in range(32, 127))  # so the short way for plain ASCII is the same
     a = spark.createDataFrame([(1, same[0]), (2, same[1]), (3, None), (4, "")], "id int, name string")
     b = spark.createDataFrame([(9, same[0]), (9, same[0]), (8, same[2]), (7, "​")], "cid int, other string")
     got = sorted((r.id, r.cid) for r in look_alike_pairs(a, b, "name", "other").collect())
