@@ -200,10 +200,13 @@ def allowed(length: int, least: float) -> int:
 def block_keys(brand: str, least: float, left: bool, kept: int = 6) -> list[str]:
     """Keys of which any two brands of the two sides with a similarity of ``least`` share one.
 
-    Two names at most k edits apart have a common rest after k deletions in each;
+    Two names at most k edits apart keep all but k letters in common, in order;
     so their first kept + k letters (filled up at the end) share a form with k
-    letters less.  k depends on the longer name, so a key names its length and
-    which side has it: names of other lengths don't meet there.
+    letters less.  For long names, kept pairs of common letters from the front and
+    as many from the back don't overlap, hence one end has k/2 edits at most, and
+    the ends share forms with that many letters less.  k depends on the longer
+    name, so a key names its length and which side has it: names of other lengths
+    don't meet there.
     """
     n, keys, longest = len(brand), set(), len(brand)
     while True:
@@ -211,9 +214,13 @@ def block_keys(brand: str, least: float, left: bool, kept: int = 6) -> list[str]
         if longest - n > k:
             break
         tags = ("both", "left" if left else "right") if longest == n else ("right" if left else "left",)
-        head = brand[: kept + k].ljust(kept + k)
-        for x in {"".join(c) for c in combinations(head, kept)}:
-            keys |= {f"{longest} {t} {x}" for t in tags}
+        if longest < 12:
+            ends, size, lost = [("", brand)], kept, k
+        else:
+            ends, size, lost = [("<", brand), (">", brand[::-1])], min(kept, (longest - k) // 2), k // 2
+        for name, letters in ends:
+            for x in {"".join(c) for c in combinations(letters[: size + lost].ljust(size + lost), size)}:
+                keys |= {f"{longest} {t}{name} {x}" for t in tags}
         longest += 1
     return sorted(keys)
 
