@@ -273,7 +273,8 @@ def brand_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
 
     Pairs that share a key are first held against the built-in edit distance, which
     counts a neighbour swap as two edits: above twice the allowed number no pair is
-    similar.  Only the rest is compared in Python.
+    similar, and between one and two times it the letters must nearly agree.  Only
+    the rest is compared in Python.
     """
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -293,8 +294,13 @@ def brand_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
 
     pairs = keys(left, True).hint("shuffle_merge").join(keys(right, False).withColumnRenamed("brand", "other"), "v")
     edits = F.floor((1 - least) * F.greatest(F.length("brand"), F.length("other")) + 1e-9).cast("int")
-    near = pairs.filter((F.abs(F.length("brand") - F.length("other")) <= edits) & (F.levenshtein("brand", "other") <= 2 * edits))
-    near = near.select("brand", "other").distinct()
+    pairs = pairs.filter(F.abs(F.length("brand") - F.length("other")) <= edits).select("brand", "other").distinct()
+    # d built-in edits with s of them no part of a swap leave room for s <= 2k - d only, and each such edit changes one letter
+    room = 2 * edits - F.levenshtein("brand", "other")
+    foreign = lambda a, b: F.size(F.array_except(F.split(a, ""), F.split(b, "")))
+    near = pairs.withColumn("room", room).filter(
+        (F.col("room") >= edits) | (F.col("room") >= 0) & (foreign("brand", "other") <= F.col("room")) & (foreign("other", "brand") <= F.col("room"))
+    ).select("brand", "other")
     return cut(_spread(near).mapInPandas(compare, "brand string, other string, brand_sim double"), "brands")
 
 

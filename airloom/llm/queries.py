@@ -41,7 +41,7 @@ def _p3_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     form = ["brand", "subject", "number", "country"]
     station = F.concat_ws("\x01", *[F.coalesce(x, F.lit("?")) for x in form])
     s = cut(s.withColumn("station", station).select("stream_id", "station", *form), "streams")
-    r = parsed(c, "display_name", parser).join(sources, "source", "left")
+    r = cut(parsed(c, "display_name", parser), "parsed").join(sources, "source", "left")
     # a country written in any name of a channel holds for all of them
     own = r.groupBy("source", "record").agg(F.max("name_country").alias("country"))
     r = r.join(own, ["source", "record"]).select("source", "record", *form, "countries", "subject_score")
