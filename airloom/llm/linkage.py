@@ -7,7 +7,8 @@ no block is compared pairwise beyond that.
 Every candidate pair is a variable between 0 and 1.  Weighted rules become
 hinge losses:
 
-* similarity: a similar pair should hold, an unsupported one should not;
+* similarity: a similar pair should hold, the more so the more similar, an
+  unsupported one should not;
 * exclusivity: a record of one side belongs to one station, and a source has
   one record per station;
 * transitivity: what holds for a station holds for a station that can't be
@@ -87,8 +88,8 @@ def plain(name: str) -> str:
     return " ".join(w for w in out if w)
 
 
-def split_name(name: str, codes: set[str]) -> tuple[list[str], str, str | None]:
-    """Words without filler, number and country of a name."""
+def split_name(name: str, codes: set[str]) -> tuple[list[str], list[str], str | None]:
+    """Words without filler, numbers and country of a name."""
     t, country = plain(name), None
     if (m := _PREFIX.match(t)) and m.group(1).upper() in codes:
         country, t = m.group(1).upper(), t[m.end() :]
@@ -100,22 +101,23 @@ def split_name(name: str, codes: set[str]) -> tuple[list[str], str, str | None]:
         country, t = country or m.group(1).upper(), t[: m.start()]
     if (m := _LAST.search(t)) and m.group(1) in codes:
         country, t = country or m.group(1), t[: m.start()]
-    t = regex.sub(r"\bplus\s+(\d)", r"+\1", t, flags=regex.I)
-    words, number = [], ""
-    for w in _GLUED.sub(" ", t).replace("4 K", "4K").split():
+    # "plus 1" is a shift, "Plus 4K" is not
+    t = regex.sub(r"\bplus\s+(?!\d+K\b)(\d)", r"+\1", _GLUED.sub(" ", t).replace("4 K", "4K"), flags=regex.I)
+    words, numbers = [], []
+    for w in t.split():
         w = w.strip("|:.,;-_'\"!()[]")
         low = w.lower()
         if not w or low in FILLER:
             continue
         if regex.fullmatch(r"\+?\d+", low):
-            number = low
+            numbers.append(low)
         elif low in NUMBERS:
-            number = NUMBERS[low]
+            numbers.append(NUMBERS[low])
         else:
             words.append(w)
     if not words:
         words = [w for w in t.split() if w.lower() in FILLER][:1]
-    return words, number, country
+    return words, numbers, country
 
 
 def distance(a: str, b: str, most: int = 3) -> int:
@@ -137,10 +139,13 @@ def distance(a: str, b: str, most: int = 3) -> int:
 
 
 class Parser:
-    """Assigns brand and subject, given the folded subject words of the clean side."""
+    """Assigns brand, subject and number, given the folded subject words of the clean side.
 
-    def __init__(self, subjects: list[str], codes: set[str]):
-        self.subjects, self.codes = sorted(set(subjects)), codes
+    marks: folded words that tell stations apart as numbers do (North, Plus).
+    """
+
+    def __init__(self, subjects: list[str], codes: set[str], marks: list[str] = ()):
+        self.subjects, self.codes, self.marks = sorted(set(subjects)), codes, set(marks)
         self.known = set(self.subjects)
         self._memo: dict[str, tuple[float, str]] = {}
 
@@ -167,8 +172,12 @@ class Parser:
 
     def parse(self, name: str) -> tuple[str, str, str, str | None, float]:
         """(folded brand, subject, number, country, subject score); brand and subject may be empty."""
-        words, number, country = split_name(name, self.codes)
+        words, numbers, country = split_name(name, self.codes)
         folded = [fold(w) for w in words]
+        # brand and subject stay: of two words only the last can be a mark
+        marks = [i for i, w in enumerate(folded) if w in self.marks and (len(folded) > 2 or i == 1)]
+        number = " ".join(sorted({*numbers, *(folded[i] for i in marks)}))
+        folded = [w for i, w in enumerate(folded) if i not in marks] or folded
         scored = [self.subject_of(w) for w in folded]
         if len(folded) >= 2:
             at = max(range(len(folded)), key=lambda i: (scored[i][0], i))
@@ -233,8 +242,13 @@ def similarity(a: str, b: str, least: float = 0.0) -> float:
     return 1 - d / size if d <= most else 0.0
 
 
-def subject_words(names: DataFrame, name: str, codes: set[str], share: float = 0.002) -> list[str]:
-    """Folded last words that at least ``share`` of all names have: at most 1/share of them."""
+def known_words(names: DataFrame, name: str, codes: set[str], share: float = 0.002) -> tuple[list[str], list[str]]:
+    """Folded subject words and marks of the names.
+
+    Both are last words of at least ``share`` of all names, so at most 1/share.  What
+    mostly comes after another such word is a mark (North in "Sport North"); the word
+    before it then counts as the last.
+    """
 
     def last(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -242,12 +256,21 @@ def subject_words(names: DataFrame, name: str, codes: set[str], share: float = 0
             for n in b[name]:
                 words, _, _ = split_name(n, codes)
                 if len(words) >= 2:
-                    out.append(fold(words[-1]))
-            yield pd.DataFrame({"w": out})
+                    out.append((fold(words[-1]), fold(words[-2]), len(words)))
+            yield pd.DataFrame(out, columns=["w", "before", "size"])
 
-    words = cut(names.select(name).filter(f"{name} is not null").distinct().mapInPandas(last, "w string").groupBy("w").agg(F.count("*").alias("n")), "subjects")
+    texts = _spread(names.select(name).filter(f"{name} is not null").distinct())
+    words = cut(texts.mapInPandas(last, "w string, before string, size int").groupBy("w", "before", "size").agg(F.count("*").alias("n")), "words")
     total = words.agg(F.sum("n")).first()[0] or 0
-    return [r.w for r in words.filter(F.col("n") >= share * total).collect() if r.w]
+
+    def frequent(counts: DataFrame) -> list[str]:
+        return [r.w for r in counts.groupBy("w").agg(F.sum("n").alias("n")).filter(F.col("n") >= share * total).collect() if r.w]
+
+    ends = frequent(words)
+    follows = words.filter(F.col("w").isin(ends)).groupBy("w").agg(F.sum(F.when(F.col("before").isin(ends) & (F.col("size") > 2), F.col("n")).otherwise(0)).alias("after"), F.sum("n").alias("n"))
+    marks = [r.w for r in follows.filter("2 * after > n").collect()]
+    inner = F.col("w").isin(marks) & (F.col("size") > 2)
+    return frequent(words.select(F.when(inner, F.col("before")).otherwise(F.col("w")).alias("w"), "n").filter(~F.col("w").isin(marks))), marks
 
 
 def _spread(rows: DataFrame) -> DataFrame:
@@ -298,6 +321,19 @@ def brand_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     return cut(_spread(near).mapInPandas(compare, "brand string, other string, brand_sim double"), "brands")
 
 
+def further_edits(brands: DataFrame, stations: DataFrame, at_least: int = 3) -> DataFrame:
+    """brands with ``further``: how many edits more than the nearest established brand a pair needs.
+
+    Established are brands of ``at_least`` stations, which a slip of the pen rarely has.
+    A name spelled as one brand is hardly another one misspelled.
+    """
+    edits = F.round((1 - F.col("brand_sim")) * F.greatest(F.length("brand"), F.length("other")))
+    known = stations.groupBy("brand").agg(F.countDistinct("station").alias("n")).filter(F.col("n") >= at_least).select("brand")
+    nearest = brands.join(known, "brand", "left_semi").groupBy("other").agg(F.min(edits).alias("nearest"))
+    further = F.greatest(F.lit(0.0), edits - F.coalesce("nearest", edits))
+    return brands.join(nearest, "other", "left").withColumn("further", further).drop("nearest")
+
+
 class NoConvergence(RuntimeError):
     pass
 
@@ -397,7 +433,7 @@ def link(
     record may have several rows (names); its best name counts.  Result: station,
     source, record, confidence.
     """
-    brands = brand_pairs(stations, records, least_brand)
+    brands = further_edits(brand_pairs(stations, records, least_brand), stations)
     r = records.select("source", "record", F.col("brand").alias("other"), "subject", "number", F.col("country").alias("rc"), "countries", "subject_score")
     fits = F.col("country").isNull() | F.when(F.col("rc").isNotNull(), F.col("rc") == F.col("country")).otherwise(
         F.col("countries").isNull() | F.array_contains("countries", F.col("country"))
@@ -406,7 +442,7 @@ def link(
     only = F.coalesce(F.size("countries") == 1, F.lit(False)) & F.col("country").isNotNull()
     place = F.when(known, 1.0).when(only, 0.95).otherwise(0.75)
     pairs = stations.join(brands, "brand").join(r, ["other", "subject", "number"]).filter(fits)
-    score = 0.55 * F.col("brand_sim") + 0.15 * F.col("subject_score") + 0.3 * place
+    score = 0.55 * F.col("brand_sim") * F.pow(F.lit(0.5), "further") + 0.15 * F.col("subject_score") + 0.3 * place
     pairs = pairs.groupBy("station", "source", "record").agg(F.max(score).alias("s"), F.first("brand").alias("brand"), F.first("subject").alias("subject"), F.first("number").alias("number"), F.first("country").alias("country"))
     pairs = cut(pairs.withColumn("var", F.monotonically_increasing_id()), "pairs")
 
@@ -416,8 +452,10 @@ def link(
 
     # how much the pair's similarity speaks for it; scores below the base speak against it
     want = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("s") - 0.6) / 0.3))
-    one = pairs.select("var", want.alias("want"))
-    similar = one.select(rule("s", "var").alias("rule"), "var", F.lit(-1.0).alias("coef"), F.lit(w_similar).alias("weight"), F.col("want").alias("constant"))
+    # without a slope the optimum could share a record between any claims, however unequal
+    weight = w_similar * F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("s") - 0.6) / 0.4))
+    one = pairs.select("var", want.alias("want"), weight.alias("weight"))
+    similar = one.select(rule("s", "var").alias("rule"), "var", F.lit(-1.0).alias("coef"), "weight", F.col("want").alias("constant"))
     prior = one.select(rule("p", "var").alias("rule"), "var", F.lit(1.0).alias("coef"), F.lit(w_prior).alias("weight"), F.lit(0.0).alias("constant"))
     of_record = pairs.filter("country is not null").select(rule("r", "source", "record").alias("rule"), "var", F.lit(1.0).alias("coef"))
     of_source = pairs.select(rule("t", "station", "source").alias("rule"), "var", F.lit(1.0).alias("coef"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from airloom.llm.confusables import forms, look_alike_pairs
 from airloom.llm.leakage import leaks
-from airloom.llm.linkage import Parser, link, parsed, subject_words
+from airloom.llm.linkage import Parser, known_words, link, parsed
 from airloom.llm.mojibake import garbled
 from airloom.llm.packing import FILES, fill_report, packed_documents, packing_faults
 from airloom.llm.sentences import sentences
@@ -36,7 +36,8 @@ def _p3_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     code = F.upper(F.regexp_extract("cat_name", r"^\s*([A-Za-z]{2})\s*\|", 1))
     listed = sources.select(F.explode("countries").alias("c")).union(s.select(code)).distinct()
     codes = {r[0] for r in listed.filter("c rlike '^[A-Z]{2}$'").collect()}
-    parser = Parser(subject_words(s, "name", codes), codes)
+    subjects, marks = known_words(s, "name", codes)
+    parser = Parser(subjects, codes, marks)
     s = parsed(s.distinct(), "name", parser).withColumn("country", F.coalesce("name_country", F.when(code != "", code)))
     form = ["brand", "subject", "number", "country"]
     station = F.concat_ws("\x01", *[F.coalesce(x, F.lit("?")) for x in form])

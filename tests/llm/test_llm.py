@@ -132,6 +132,39 @@ def test_brand_pairs_complete(spark):
     assert {tuple(map(linkage.fold, p)) for p in (("Caarfon", "Calarfon"), ("Lorrio", "Loririo"), ("Wexxilux", "Wexilux"))} <= got
 
 
+def test_marks_are_no_subjects(spark):
+    """Words behind the subject are read as numbers are; quality after one is no shift."""
+    rng = random.Random(3)
+    brands, topics = ["Hexusta", "Velmora", "Corinex", "Praudel", "Zanibor"], ["News", "Kids", "History", "Drama"]
+    names = [(f"{b} {t}{m} {rng.choice(['HD', '4K', ''])}",) for b in brands for t in topics for m in ("", " North", " Plus", " 2")]
+    subjects, marks = linkage.known_words(spark.createDataFrame(names, "name string"), "name", {"DE"})
+    assert set(subjects) == set(map(linkage.fold, topics)) and set(marks) == {"north", "plus"}
+    p = linkage.Parser(subjects, {"DE"}, marks)
+    want = (linkage.fold("Hexusta"), linkage.fold("history"))
+    for n in ("Hexusta History North", "History Hexusta North 4K", "HexustaHistory North", "Hexusta Hist. North.de", "HexustaHistoryNorth"):
+        assert p.parse(n)[:3] == (*want, "north"), n
+    for n in ("Hexusta History Plus 4K", "HexustaHistoryPlus4K", "HEXUSTA HISTORY PLUS"):
+        assert p.parse(n)[:3] == (*want, "plus"), n
+    assert p.parse("Hexusta History plus 1 4K")[:3] == (*want, "+1") and p.parse("Hexusta History 2 +1")[2] == p.parse("Hexusta History +1 2")[2] != "2"
+    assert p.parse("North News")[:3] == ("north", linkage.fold("News"), "")
+
+
+def test_better_claims_win(spark):
+    """Of like brands the better spelled one gets the record, and a name that is another brand gets none."""
+    brands = ["velista", "verista", "kanargo"]
+    stations = [(f"{b}-{k}", b, k, "", "DE") for b in brands for k in ("nevs", "kids", "drama")]
+    stations = [x for x in stations if x[0] != "velista-drama"]
+    stations += [("velista-sport", "velista", "sport", "", "FR")]
+    records = [("a", f"{b}-{k}", b, k, "", None, ["DE"], 1.0) for b in brands for k in ("nevs", "kids")]
+    records += [("a", "velista-drama", "velista", "drama", "", None, ["DE"], 1.0), ("a", "kanrgo-drama", "kanrgo", "drama", "", None, ["DE"], 1.0)]
+    s = spark.createDataFrame(stations, "station string, brand string, subject string, number string, country string")
+    r = spark.createDataFrame(records, "source string, record string, brand string, subject string, number string, country string, countries array<string>, subject_score double")
+    got = {(x.station, x.record): x.confidence for x in linkage.link(s, r).collect()}
+    want = {(f"{b}-{k}", f"{b}-{k}") for b in brands for k in ("nevs", "kids")} | {("kanargo-drama", "kanrgo-drama")}
+    assert {k for k, v in got.items() if v >= 0.49} == want
+    assert min(got[k] for k in want) > 0.9 and got["verista-drama", "velista-drama"] < 0.05
+
+
 # --- 6: survivors -----------------------------------------------------------------------------
 def brute_groups(rows):
     parent = {}
