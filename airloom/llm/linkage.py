@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -57,8 +58,13 @@ _DOT = regex.compile(r"\.([A-Za-z]{2})\s*$")
 _LAST = regex.compile(r"\s([A-Z]{2})\s*$")
 _GLUED = regex.compile(r"(?<=\p{Ll})(?=\p{Lu})|(?<=\p{L}\p{M}?)(?=\d)|(?<=\p{L})(?=\+\d)")
 _ALPHABETS = regex.compile(r"[\p{Cyrillic}\p{Greek}]")
+_BLANKS = regex.compile(r"[\p{Zs}\s]+")
+# "plus 1" is a shift, "Plus 4K" is not
+_SHIFT = regex.compile(r"\bplus\s+(?!\d+K\b)(\d)", regex.I)
+_NUMBER = regex.compile(r"\+?\d+")
 
 
+@lru_cache(1 << 16)
 def fold(word: str) -> str:
     """Spelling habits levelled: accents, doubled letters, c/k/q, w/v, y/j/i, x/ks."""
     w = "".join(c for c in unicodedata.normalize("NFD", word.lower()) if unicodedata.category(c) != "Mn")
@@ -75,7 +81,9 @@ def fold(word: str) -> str:
 
 def plain(name: str) -> str:
     """Look-alike letters back to Latin, except in words that are written in another alphabet."""
-    words = regex.sub(r"[\p{Zs}\s]+", " ", name).split(" ")
+    if name.isascii() and name.isprintable():
+        return " ".join(name.split())
+    words = _BLANKS.sub(" ", name).split(" ")
     foreign = [w for w in words if _ALPHABETS.search(w) and any(_ALPHABETS.match(c) and c not in LOOK_ALIKE for c in w)]
     out = []
     for w in words:
@@ -101,15 +109,14 @@ def split_name(name: str, codes: set[str]) -> tuple[list[str], list[str], str |
         country, t = country or m.group(1).upper(), t[: m.start()]
     if (m := _LAST.search(t)) and m.group(1) in codes:
         country, t = country or m.group(1), t[: m.start()]
-    # "plus 1" is a shift, "Plus 4K" is not
-    t = regex.sub(r"\bplus\s+(?!\d+K\b)(\d)", r"+\1", _GLUED.sub(" ", t).replace("4 K", "4K"), flags=regex.I)
+    t = _SHIFT.sub(r"+\1", _GLUED.sub(" ", t).replace("4 K", "4K"))
     words, numbers = [], []
     for w in t.split():
         w = w.strip("|:.,;-_'\"!()[]")
         low = w.lower()
         if not w or low in FILLER:
             continue
-        if regex.fullmatch(r"\+?\d+", low):
+        if _NUMBER.fullmatch(low):
             numbers.append(low)
         elif low in NUMBERS:
             numbers.append(NUMBERS[low])
@@ -423,7 +430,7 @@ def solve(terms: DataFrame, potentials: DataFrame, *, rho: float = 2.0, tol: flo
 
 def link(
     stations: DataFrame, records: DataFrame, *, least_brand: float = 0.7,
-    w_similar: float = 1.0, w_prior: float = 0.35, w_exclusive: float = 4.0, w_transitive: float = 0.5,
+    w_similar: float = 1.0, w_prior: float = 0.35, w_exclusive: float = 4.0, w_transitive: float = 0.5, idle: bool = True,
 ) -> DataFrame:
     """Confidence of each candidate (station, record).
 
@@ -431,9 +438,20 @@ def link(
     records: source, record (id), brand, subject, number, country (NULL if
     unknown), countries (list of possible ones, NULL if any), subject_score.  A
     record may have several rows (names); its best name counts.  Result: station,
-    source, record, confidence.
+    source, record, confidence.  ``idle``: also candidates whose brands rule out any
+    confidence but 0, which are most.
     """
+    def part(brand):
+        return 0.55 * brand * F.pow(F.lit(0.5), "further")
+
+    def slope(s):
+        """Weight of a claim.  Without a slope the optimum could share a record between any claims, however unequal."""
+        return w_similar * F.greatest(F.lit(0.0), F.least(F.lit(1.0), (s - 0.6) / 0.4))
+
     brands = further_edits(brand_pairs(stations, records, least_brand), stations)
+    if not idle:
+        # the best that subject and place could add
+        brands = brands.filter(slope(part(F.col("brand_sim")) + 0.45) > w_prior)
     r = records.select("source", "record", F.col("brand").alias("other"), "subject", "number", F.col("country").alias("rc"), "countries", "subject_score")
     fits = F.col("country").isNull() | F.when(F.col("rc").isNotNull(), F.col("rc") == F.col("country")).otherwise(
         F.col("countries").isNull() | F.array_contains("countries", F.col("country"))
@@ -442,9 +460,12 @@ def link(
     only = F.coalesce(F.size("countries") == 1, F.lit(False)) & F.col("country").isNotNull()
     place = F.when(known, 1.0).when(only, 0.95).otherwise(0.75)
     pairs = stations.join(brands, "brand").join(r, ["other", "subject", "number"]).filter(fits)
-    score = 0.55 * F.col("brand_sim") * F.pow(F.lit(0.5), "further") + 0.15 * F.col("subject_score") + 0.3 * place
+    score = part(F.col("brand_sim")) + 0.15 * F.col("subject_score") + 0.3 * place
     pairs = pairs.groupBy("station", "source", "record").agg(F.max(score).alias("s"), F.first("brand").alias("brand"), F.first("subject").alias("subject"), F.first("number").alias("number"), F.first("country").alias("country"))
-    pairs = cut(pairs.withColumn("var", F.monotonically_increasing_id()), "pairs")
+    every = cut(pairs.withColumn("var", F.monotonically_increasing_id()).withColumn("weight", slope(F.col("s"))), "pairs")
+    # a claim that weighs no more than the prior is 0 in the optimum: all other rules press it down, but for a station without country, which follows
+    pairs, still = every.filter(f"weight > {w_prior} or country is null"), every.filter(f"weight <= {w_prior} and country is not null")
+    out = ["station", "source", "record", "confidence", "s"]
 
     def rule(kind: str, *keys: str):
         """The rule's name, from the values it is about."""
@@ -452,9 +473,7 @@ def link(
 
     # how much the pair's similarity speaks for it; scores below the base speak against it
     want = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("s") - 0.6) / 0.3))
-    # without a slope the optimum could share a record between any claims, however unequal
-    weight = w_similar * F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("s") - 0.6) / 0.4))
-    one = pairs.select("var", want.alias("want"), weight.alias("weight"))
+    one = pairs.select("var", want.alias("want"), "weight")
     similar = one.select(rule("s", "var").alias("rule"), "var", F.lit(-1.0).alias("coef"), "weight", F.col("want").alias("constant"))
     prior = one.select(rule("p", "var").alias("rule"), "var", F.lit(1.0).alias("coef"), F.lit(w_prior).alias("weight"), F.lit(0.0).alias("constant"))
     of_record = pairs.filter("country is not null").select(rule("r", "source", "record").alias("rule"), "var", F.lit(1.0).alias("coef"))
@@ -472,4 +491,4 @@ def link(
         .union(follow.select("rule", F.lit(w_transitive), F.lit(0.0)))
     )
     y = solve(terms, potentials.dropDuplicates(["rule"]))
-    return pairs.join(y, "var").select("station", "source", "record", F.col("y").alias("confidence"), "s")
+    return pairs.join(y, "var").withColumnRenamed("y", "confidence").select(*out).union(still.withColumn("confidence", F.lit(0.0)).select(*out))

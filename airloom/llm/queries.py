@@ -27,7 +27,7 @@ def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return garbled(rows, "prog_id", ["title", "descr"])
 
 
-def _p3_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _p3_links(spark: SparkSession, sf_dir: str, idle: bool) -> tuple[DataFrame, DataFrame]:
     """(streams with their station, links of stations and channels with confidence)."""
     s = table(spark, sf_dir, "streams").filter("snapshot_no = 6").select(whole_number("stream_id").alias("stream_id"), "name", "cat_name")
     c = table(spark, sf_dir, "channel").select("source", F.col("id").alias("record"), "display_name").distinct()
@@ -52,19 +52,23 @@ def _p3_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     shown = r.select("brand", "subject", "number", F.coalesce("country", only).alias("country")).filter("country is not null and subject <> ''")
     shown = shown.distinct().join(s.select("brand").distinct(), "brand", "left_semi")
     stations = s.select(*form).union(shown.select(*form)).distinct().withColumn("station", station)
-    return s, link(stations, r)
+    return s, link(stations, r, idle=idle)
 
 
-def p3_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All candidate pairs with their confidence."""
+def _p3_pairs(spark: SparkSession, sf_dir: str, idle: bool) -> DataFrame:
     tune(spark)
-    s, links = _p3_links(spark, sf_dir)
+    s, links = _p3_links(spark, sf_dir, idle)
     out = s.select("stream_id", "station").distinct().join(links, "station").filter("stream_id is not null")
     return out.groupBy("stream_id", "source", F.col("record").alias("channel_id")).agg(F.max("confidence").alias("confidence"))
 
 
+def p3_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All candidate pairs with their confidence."""
+    return _p3_pairs(spark, sf_dir, True)
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p3_confidence(spark, sf_dir).filter("confidence >= 0.49").select("stream_id", "source", "channel_id")
+    return _p3_pairs(spark, sf_dir, False).filter("confidence >= 0.49").select("stream_id", "source", "channel_id")
 
 
 def _survivors(spark: SparkSession, sf_dir: str, at) -> DataFrame:

@@ -163,6 +163,9 @@ def test_better_claims_win(spark):
     want = {(f"{b}-{k}", f"{b}-{k}") for b in brands for k in ("nevs", "kids")} | {("kanargo-drama", "kanrgo-drama")}
     assert {k for k, v in got.items() if v >= 0.49} == want
     assert min(got[k] for k in want) > 0.9 and got["verista-drama", "velista-drama"] < 0.05
+    # what can't be more than 0 needn't become a variable
+    few = {(x.station, x.record): x.confidence for x in linkage.link(s, r, idle=False).collect()}
+    assert set(few) == want and all(few[k] == pytest.approx(got[k], abs=0.01) for k in few)
 
 
 # --- 6: survivors -----------------------------------------------------------------------------
